@@ -23,6 +23,8 @@ def sum0_where(x: Column | str, condition: Column) -> Column:
 
 
 def sum_strict(x: Column | str) -> Column:
+    if isinstance(x, str):
+        return F.expr(f"CASE WHEN count(1) = count(`{x}`) THEN sum(`{x}`) END")
     return F.when(F.count(F.lit(1)) == F.count(_col(x)), F.sum(_col(x)))
 
 

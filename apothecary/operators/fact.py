@@ -30,9 +30,8 @@ ATTRIBUTES = (
 
 
 def _sums(columns: tuple[str, ...]) -> list[Column]:
-    return [
-        F.sum(c).cast(MONEY_TYPE if c in MONEY else "bigint").alias(c) for c in columns
-    ]
+    kinds = [MONEY_TYPE.simpleString() if c in MONEY else "bigint" for c in columns]
+    return [F.expr(f"cast(sum({c}) AS {kind}) AS {c}") for c, kind in zip(columns, kinds)]
 
 
 def contractor_months(claims: DataFrame) -> DataFrame:

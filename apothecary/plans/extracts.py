@@ -39,7 +39,7 @@ def extract(
     )
     if MEDIAN in wanted:
         out = _with_median(out, fact, keys, params)
-    return out.select(*[F.col(k).alias(k.lower()) for k in keys], *[m.name for m in wanted])
+    return out.selectExpr(*[f"{k} AS {k.lower()}" for k in keys], *[m.name for m in wanted])
 
 
 def _with_median(

@@ -54,6 +54,15 @@ YEAR_FACT = _fact(_text("FINANCIAL_YEAR"))
 # A month row also names its financial year, by which the table is partitioned.
 MONTH_FACT = _fact([T.StructField("YEAR_MONTH", T.IntegerType())] + _text("FINANCIAL_YEAR"))
 
+# Claims added up by contractor and month, before attributes are joined.
+ACTIVITY = T.StructType(
+    [T.StructField("CONTRACTOR_ID", T.LongType(), False)]
+    + _text("FINANCIAL_YEAR")
+    + [T.StructField("YEAR_MONTH", T.IntegerType()), T.StructField("MONTHS_ACTIVE", T.LongType())]
+    + [T.StructField(n, T.LongType()) for n in VOLUMES]
+    + [T.StructField(n, MONEY_TYPE) for n in MONEY]
+)
+
 FLU = T.StructType(
     _text("FINANCIAL_YEAR", CLASS)
     + [
@@ -84,4 +93,6 @@ def require(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [n for n in schema.fieldNames() if n.lower() not in have]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(
+        *[f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
+    )

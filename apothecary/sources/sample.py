@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from apothecary.functions.scalars import financial_year_label, financial_year_start
 from apothecary.operators import fact
 from apothecary.params import DECISIONS, GRANTED, LOCALITIES, REFUSED, ReportParams
-from apothecary.schemas import CLASS, MONEY, MONTH_FACT, VOLUMES, YEAR_FACT, require
+from apothecary.schemas import ACTIVITY, CLASS, MONEY, MONTH_FACT, VOLUMES, YEAR_FACT, require
 from apothecary.session import configure, written_once
 
 # A claim line is below a million pounds. At this precision its sums are kept
@@ -53,34 +53,34 @@ class Sample:
 
     def claims(self) -> DataFrame:
         """One row per claim line, with what it adds to every fact column."""
-        lines = self.table("lineitem").select(
-            F.col("l_suppkey").alias("CONTRACTOR_ID"),
-            F.to_date("l_shipdate").alias("CLAIM_DATE"),
-            "l_partkey",
-            "l_linenumber",
-            F.col("l_quantity").cast("bigint").alias("quantity"),
-            F.col("l_extendedprice").cast(LINE_MONEY).alias("price"),
+        line_money = LINE_MONEY.simpleString()
+        lines = self.table("lineitem").selectExpr(
+            "l_suppkey AS CONTRACTOR_ID",
+            "to_date(l_shipdate) AS CLAIM_DATE",
+            "l_partkey AS part",
+            "l_linenumber AS line",
+            "cast(l_quantity AS bigint) AS quantity",
+            f"cast(l_extendedprice AS {line_money}) AS price",
+            f"year(add_months(to_date(l_shipdate), -3)) >= {SERVICES_FROM} AS offered",
         )
-        offered = financial_year_start(F.col("CLAIM_DATE")) >= SERVICES_FROM
 
-        def hit(k: int) -> Column:
-            return (F.col("l_partkey") + k * F.col("l_linenumber")) % (k + 5) == 0
+        def since(k: int, value: str) -> str:
+            return f"CASE WHEN offered THEN {value} END" if k % 3 == 0 else value
 
-        def since(k: int, value: Column) -> Column:
-            return F.when(offered, value) if k % 3 == 0 else value
+        def hit(k: int) -> str:
+            return f"(part + {k} * line) % {k + 5} = 0"
 
-        items = F.col("quantity") * (1 + (F.col("CONTRACTOR_ID") * 7) % 97)
-        return lines.select(
+        return lines.selectExpr(
             "CONTRACTOR_ID",
             "CLAIM_DATE",
-            items.alias("ITEMS"),
+            "quantity * (1 + (CONTRACTOR_ID * 7) % 97) AS ITEMS",
             *[
-                since(k, hit(k).cast("bigint")).alias(name)
+                since(k, f"cast({hit(k)} AS bigint)") + f" AS {name}"
                 for k, name in enumerate(VOLUMES[1:], start=2)
             ],
-            F.col("price").alias("NIC"),
+            "price AS NIC",
             *[
-                since(k, F.when(hit(k), F.col("price"))).alias(name)
+                since(k, f"CASE WHEN {hit(k)} THEN price END") + f" AS {name}"
                 for k, name in enumerate(MONEY[1:], start=2)
             ],
         )
@@ -121,13 +121,12 @@ class Sample:
 
     def activity(self) -> DataFrame:
         """Contractor months, written once: claims are scanned a single time."""
-        schema = fact.contractor_months(self.claims()).schema
         return written_once(
             self.spark,
             "contractor_months",
             self.folder,
             lambda: fact.contractor_months(self.claims()),
-            schema,
+            ACTIVITY,
             "FINANCIAL_YEAR",
         )
 
