@@ -33,6 +33,13 @@ class Measure:
             text = f"cast({text} AS {MONEY_TOTAL_TYPE.simpleString()})"
         return F.expr(f"{text} AS {self.name}")
 
+    @property
+    def title(self) -> str:
+        tested = f" where {' '.join(self.test)}" if self.test else ""
+        if self.kind in ("rows", "count_if"):
+            return f"Contractors{tested}"
+        return f"{'Median' if self.kind == 'median' else 'Total'} of {self.source}{tested}"
+
     @property
     def is_money(self) -> bool:
         return self.kind == "total" and (self.source in MONEY or self.source == "AUR_ALL")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from apothecary.plans import figures, tables
 from apothecary.plans.appeals import table_20
 from apothecary.plans.extracts import MONTHLY, NATIONAL, SUB_NATIONAL, extract
 from apothecary.plans.flu import with_flu_reference
+from apothecary.plans.measures import BY_NAME
 from apothecary.plans.tables import TITLES, Extracts
 from apothecary.sinks.files import with_titles, write_csv, write_table
 
@@ -99,26 +101,48 @@ class Publication:
         return tables.table(number, extracts, self.params)
 
     def publish_tables(self, folder: str, numbers: tuple[int, ...] = ALL_TABLES) -> None:
-        """Each table as Parquet and CSV, with field dictionary and contents."""
+        """Each table as Parquet and CSV, with field dictionary and contents.
+
+        The CSV is written from the Parquet file, so that no table is computed
+        twice. Tables are small and independent; some are written at a time.
+        """
         extracts = self.extracts()
-        for n in numbers:
-            frame = with_titles(self.table(n, extracts), {})
-            write_table(frame, f"{folder}/table_{n:02d}/parquet")
-            write_csv(frame, f"{folder}/table_{n:02d}/csv")
+
+        def publish(n: int) -> None:
+            path = f"{folder}/table_{n:02d}"
+            frame = self.table(n, extracts)
+            write_table(with_titles(frame, column_titles(frame.columns)), f"{path}/parquet")
+            write_csv(self.spark.read.parquet(f"{path}/parquet"), f"{path}/csv")
+
+        _several_at_a_time(publish, numbers)
         write_csv(field_dictionary(self.spark), f"{folder}/fields")
         write_csv(contents(self.spark), f"{folder}/contents")
 
     def publish_figures(self, folder: str) -> None:
+        """The long and the wide data of each figure as CSV."""
         extracts = self.extracts()
-        for spec in figures.SPECS:
-            write_csv(
-                figures.figure_long(spec, extracts, self.params),
-                f"{folder}/{spec.name}/long",
-            )
-            write_csv(
-                figures.figure_wide(spec, extracts, self.params),
-                f"{folder}/{spec.name}/wide",
-            )
+
+        def publish(spec: figures.FigureSpec) -> None:
+            long = figures.figure_long(spec, extracts, self.params)
+            wide = figures.figure_wide(spec, extracts, self.params)
+            write_csv(long, f"{folder}/{spec.name}/long")
+            write_csv(wide, f"{folder}/{spec.name}/wide")
+
+        _several_at_a_time(publish, figures.SPECS)
+
+
+def _several_at_a_time(work, items) -> None:
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(work, items))
+
+
+def column_titles(columns: list[str]) -> dict[str, str]:
+    """Titles of measure columns, said by their rules."""
+    out = {}
+    for c in columns:
+        measure = BY_NAME.get(c.removesuffix("_csv"))
+        out[c] = measure.title if measure else c.replace("_", " ").capitalize()
+    return out
 
 
 def field_dictionary(spark: SparkSession) -> DataFrame:

@@ -216,3 +216,29 @@ class Sample:
                 F.lit(1).cast("bigint").alias("number"),
             )
         )
+
+    def fees(self) -> DataFrame:
+        """A fee schedule with date text, one fee per order priority and year."""
+        return (
+            self.table("orders")
+            .groupBy(
+                F.col("o_orderpriority").alias("fee_name"), F.year("o_orderdate").alias("year")
+            )
+            .agg(
+                (F.count(F.lit(1)) % 200).cast("int").alias("fee_value_pence"),
+                F.date_format(F.min("o_orderdate"), "dd MMM yyyy").alias("fee_start"),
+                F.date_format(F.max("o_orderdate"), "dd MMM yyyy").alias("fee_end"),
+            )
+            .drop("year")
+        )
+
+    def attribute_history(self) -> DataFrame:
+        """Changes of a contractor attribute, one per claim line."""
+        return self.table("lineitem").select(
+            F.col("l_suppkey").alias("CONTRACTOR_ID"),
+            F.to_date("l_shipdate").alias("EFFECTIVE_DATE"),
+            F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag").alias(
+                "SEQUENCE"
+            ),
+            F.col("l_returnflag").alias("STATE"),
+        )

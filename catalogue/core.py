@@ -13,6 +13,8 @@ from catalogue.sql import with_facts
 Build = Callable[["Inputs"], DataFrame]
 QUERIES: dict[str, Build] = {}
 ORACLES: dict[str, str] = {}
+# The SQL as written, without the expressions put in front.
+BODIES: dict[str, str] = {}
 
 
 class Inputs(Sample):
@@ -33,6 +35,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
             raise ValueError(f"{name} is registered twice")
         QUERIES[name] = build
         if sql is not None:
+            BODIES[name] = sql
             ORACLES[name] = with_facts(sql)
         return build
 
