@@ -29,9 +29,8 @@ ATTRIBUTES = (
 )
 
 
-def _sums(columns: tuple[str, ...]) -> list[Column]:
-    kinds = [MONEY_TYPE.simpleString() if c in MONEY else "bigint" for c in columns]
-    return [F.expr(f"cast(sum({c}) AS {kind}) AS {c}") for c, kind in zip(columns, kinds)]
+def _sums() -> list[Column]:
+    return [F.expr(f"sum({c}) AS {c}") for c in (*VOLUMES, *MONEY)]
 
 
 def contractor_months(claims: DataFrame) -> DataFrame:
@@ -43,17 +42,22 @@ def contractor_months(claims: DataFrame) -> DataFrame:
         }
     )
     return dated.groupBy("CONTRACTOR_ID", *MONTH).agg(
-        F.lit(1).cast("bigint").alias("MONTHS_ACTIVE"), *_sums(VOLUMES), *_sums(MONEY)
+        F.lit(1).cast("bigint").alias("MONTHS_ACTIVE"), *_sums()
     )
 
 
 def contractor_years(months: DataFrame) -> DataFrame:
     """Month rows added up by contractor and financial year."""
     return months.groupBy("CONTRACTOR_ID", *YEAR).agg(
-        F.sum("MONTHS_ACTIVE").alias("MONTHS_ACTIVE"), *_sums(VOLUMES), *_sums(MONEY)
+        F.sum("MONTHS_ACTIVE").alias("MONTHS_ACTIVE"), *_sums()
     )
 
 
+def pounds(column: str) -> str:
+    """An amount in pence as the money type, as expression text."""
+    return f"cast({column} * 0.01BD AS {MONEY_TYPE.simpleString()}) AS {column}"
+
+
 def of_known_contractors(activity: DataFrame, contractors: DataFrame) -> DataFrame:
     """Activity of pharmacies and appliance contractors only.
 
@@ -98,22 +102,29 @@ def contractor_fact(
 ) -> DataFrame:
     """Activity per period with contractor attributes, band and owner type.
 
-    ``keep`` drops rows before owners are counted.
+    ``keep`` drops rows before owners are counted. Attributes and owner types
+    are settled on narrow rows, without the sixty sums. The sums then meet them
+    on contractor and period, the keys by which they were added up, so that
+    year sums are not shuffled again.
     """
-    rows = activity.join(contractors, "CONTRACTOR_ID")
+    held = activity.select("CONTRACTOR_ID", *period).join(contractors, "CONTRACTOR_ID")
     if keep is not None:
-        rows = rows.where(keep)
-    rows = with_owner_type(rows, period, params)
+        held = held.where(keep)
+    held = with_owner_type(held, period, params).select(
+        "CONTRACTOR_ID", *period, *ATTRIBUTES, "CONTRACTOR_TYPE"
+    )
     average = safe_ratio(F.col("ITEMS"), F.col("MONTHS_ACTIVE"))
-    return rows.select(
-        "CONTRACTOR_ID",
-        *reversed(period),
-        *ATTRIBUTES,
-        "CONTRACTOR_TYPE",
-        volume_band(average, params).alias("MONTHLY_DISP_VOL_BAND"),
-        average.alias("AVG_MONTHLY_ITEMS"),
-        *VOLUMES,
-        *MONEY,
+    return (
+        activity.join(held, ["CONTRACTOR_ID", *period])
+        .withColumn("AVG_MONTHLY_ITEMS", average)
+        .withColumn(
+            "MONTHLY_DISP_VOL_BAND", volume_band(F.col("AVG_MONTHLY_ITEMS"), params)
+        )
+        .selectExpr(
+            "CONTRACTOR_ID", *reversed(period), *ATTRIBUTES, "CONTRACTOR_TYPE",
+            "MONTHLY_DISP_VOL_BAND", "AVG_MONTHLY_ITEMS", *VOLUMES,
+            *[pounds(c) for c in MONEY],
+        )
     )
 
 

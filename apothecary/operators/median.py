@@ -13,6 +13,20 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], suffix: str)
     return reduce(lambda a, b: a & b, pairs)
 
 
+# Groups up to which the bracket is broadcast: some ten megabytes of rows.
+BROADCAST_GROUPS = 100_000
+
+
+def _broadcast_if_small(bracket: DataFrame) -> DataFrame:
+    """The bracket, kept and counted; broadcast when it is known to be small.
+
+    Otherwise Spark would have to shuffle all rows by group before it learns
+    how few groups there are. With many groups that shuffle is the right plan.
+    """
+    kept = bracket.persist()
+    return F.broadcast(kept) if kept.count() <= BROADCAST_GROUPS else kept
+
+
 def exact_median(
     df: DataFrame, keys: list[str], value: str, name: str, accuracy: int = 10_000
 ) -> DataFrame:
@@ -36,6 +50,7 @@ def exact_median(
         F.col("b")[1].alias("high"),
         "n",
     )
+    bracket = _broadcast_if_small(bracket)
     points = (
         present.join(bracket, _same_keys(present, bracket, keys, "_b"))
         .where(F.col("x") <= F.col("high"))

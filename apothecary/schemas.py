@@ -54,13 +54,22 @@ YEAR_FACT = _fact(_text("FINANCIAL_YEAR"))
 # A month row also names its financial year, by which the table is partitioned.
 MONTH_FACT = _fact([T.StructField("YEAR_MONTH", T.IntegerType())] + _text("FINANCIAL_YEAR"))
 
-# Claims added up by contractor and month, before attributes are joined.
+# Claims added up by contractor and month, before attributes are joined; amounts
+# in pence.
 ACTIVITY = T.StructType(
     [T.StructField("CONTRACTOR_ID", T.LongType(), False)]
     + _text("FINANCIAL_YEAR")
     + [T.StructField("YEAR_MONTH", T.IntegerType()), T.StructField("MONTHS_ACTIVE", T.LongType())]
     + [T.StructField(n, T.LongType()) for n in VOLUMES]
-    + [T.StructField(n, MONEY_TYPE) for n in MONEY]
+    + [T.StructField(n, T.LongType()) for n in MONEY]
+)
+
+# Contractors with the attributes they hold, and the years they traded in.
+CONTRACTORS = T.StructType(
+    [T.StructField("CONTRACTOR_ID", T.LongType(), False)]
+    + _text("OWNER_ID", CLASS, *GEOGRAPHY, "DIST_SELLING_DISPENSER_HIST",
+            "LPS_DISPENSER_HIST", "START_DATE_HIST", "CLOSE_DATE_HIST")
+    + [T.StructField("FIRST_YEAR", T.IntegerType()), T.StructField("LAST_YEAR", T.IntegerType())]
 )
 
 FLU = T.StructType(

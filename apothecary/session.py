@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from apothecary.sources.warehouse import read_fact
+
 _own_folder: dict[str, str] = {}
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -54,11 +57,11 @@ def written_once(
     spark: SparkSession,
     name: str,
     source: str,
-    build,
+    build: Callable[[], DataFrame],
     schema: T.StructType,
-    partition: str,
+    partition: str | None = None,
 ) -> DataFrame:
-    """``build()`` written as a partitioned table, once per application.
+    """``build()`` written as a table, once per application.
 
     The rebalance hint lets adaptive execution size the files: a year with
     many rows is split over several, small ones are not shredded.
@@ -66,8 +69,7 @@ def written_once(
     key = (spark.sparkContext.applicationId, source, name)
     if key not in _written:
         path = f"{run_folder(spark, 'facts')}/{len(_written):03d}_{name}"
-        build().hint("rebalance", partition).write.mode("overwrite").partitionBy(
-            partition
-        ).parquet(path)
+        by = [partition] if partition else []
+        build().hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
         _written[key] = path
-    return spark.read.schema(schema).parquet(_written[key])
+    return read_fact(spark, _written[key], schema)

@@ -11,17 +11,22 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from apothecary.functions.scalars import financial_year_label, financial_year_start
 from apothecary.operators import fact
 from apothecary.params import DECISIONS, GRANTED, LOCALITIES, REFUSED, ReportParams
-from apothecary.schemas import ACTIVITY, CLASS, MONEY, MONTH_FACT, VOLUMES, YEAR_FACT, require
+from apothecary.schemas import (
+    ACTIVITY,
+    CLASS,
+    CONTRACTORS,
+    MONEY,
+    MONTH_FACT,
+    VOLUMES,
+    YEAR_FACT,
+    require,
+)
 from apothecary.session import configure, written_once
 
-# A claim line is below a million pounds. At this precision its sums are kept
-# in a long while they are formed; the totals have the full money type.
-LINE_MONEY = T.DecimalType(8, 2)
 SERVICES_FROM = 1996
 
 SAMPLE_PARAMS = ReportParams(
@@ -52,15 +57,17 @@ class Sample:
     # -- claims and contractors ------------------------------------------
 
     def claims(self) -> DataFrame:
-        """One row per claim line, with what it adds to every fact column."""
-        line_money = LINE_MONEY.simpleString()
+        """One row per claim line, with what it adds to every fact column.
+
+        Amounts are whole pence.
+        """
         lines = self.table("lineitem").selectExpr(
             "l_suppkey AS CONTRACTOR_ID",
             "to_date(l_shipdate) AS CLAIM_DATE",
             "l_partkey AS part",
             "l_linenumber AS line",
             "cast(l_quantity AS bigint) AS quantity",
-            f"cast(l_extendedprice AS {line_money}) AS price",
+            "cast(cast(l_extendedprice AS decimal(18,2)) * 100 AS bigint) AS pence",
             f"year(add_months(to_date(l_shipdate), -3)) >= {SERVICES_FROM} AS offered",
         )
 
@@ -78,14 +85,20 @@ class Sample:
                 since(k, f"cast({hit(k)} AS bigint)") + f" AS {name}"
                 for k, name in enumerate(VOLUMES[1:], start=2)
             ],
-            "price AS NIC",
+            "pence AS NIC",
             *[
-                since(k, f"CASE WHEN {hit(k)} THEN price END") + f" AS {name}"
+                since(k, f"CASE WHEN {hit(k)} THEN pence END") + f" AS {name}"
                 for k, name in enumerate(MONEY[1:], start=2)
             ],
         )
 
     def contractors(self) -> DataFrame:
+        """Contractors with attributes, written once so that their size is known."""
+        return written_once(
+            self.spark, "contractors", self.folder, self._contractors, CONTRACTORS
+        )
+
+    def _contractors(self) -> DataFrame:
         key = F.col("s_suppkey")
         month = (1 + key % 12).cast("int")
         day = (1 + key % 28).cast("int")
@@ -139,7 +152,15 @@ class Sample:
         return require(self._fact(fact.contractor_years(activity), fact.YEAR), YEAR_FACT)
 
     def month_fact(self) -> DataFrame:
-        return require(self._fact(self.activity(), fact.MONTH), MONTH_FACT)
+        """Contractor months with attributes, written once like the years."""
+        return written_once(
+            self.spark,
+            "contractor_month_rows",
+            self.folder,
+            lambda: require(self._fact(self.activity(), fact.MONTH), MONTH_FACT),
+            MONTH_FACT,
+            "FINANCIAL_YEAR",
+        )
 
     def year_fact(self) -> DataFrame:
         """Contractor years, written once as a table partitioned by year."""

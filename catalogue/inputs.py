@@ -35,14 +35,21 @@ query(
         fact.of_known_contractors(
             fact.contractor_years(fact.contractor_months(s.claims())),
             s.contractors().where("APPLIANCE_DISPENSER_HIST = 'N' AND LPS_DISPENSER_HIST = 'N'"),
-        ).select("CONTRACTOR_ID", "FINANCIAL_YEAR", "ITEMS", "NIC")
+        ).selectExpr("CONTRACTOR_ID", "FINANCIAL_YEAR", "ITEMS", fact.pounds("NIC"))
     )
 )
 query(
     "fct2_active_contractors",
     f"SELECT id AS contractor_id, {YEAR_LABEL} AS financial_year, months AS months_active,"
     f" {ACTIVITY_COLUMNS} FROM year_sums",
-)(lambda s: lower(fact.contractor_years(s.activity())))
+)(
+    lambda s: lower(
+        fact.contractor_years(s.activity()).selectExpr(
+            "CONTRACTOR_ID", "FINANCIAL_YEAR", "MONTHS_ACTIVE", *VOLUMES,
+            *[fact.pounds(c) for c in MONEY],
+        )
+    )
+)
 query(
     "fct3_financial_year",
     f"SELECT CAST(shipped AS DATE) AS claim_date, {YEAR_LABEL} AS financial_year,"

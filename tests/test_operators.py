@@ -63,6 +63,11 @@ def test_median_property(spark, xs):
     assert medians(spark, {"g": xs}, 50) == wanted
 
 
+def test_median_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("apothecary.operators.median.BROADCAST_GROUPS", 0)
+    assert medians(spark, {"a": [3.0, 1.0], "b": [5.0]}) == {"a": 2.0, "b": 5.0}
+
+
 # -- preparation ------------------------------------------------------------------
 
 
