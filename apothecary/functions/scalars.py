@@ -45,6 +45,12 @@ def month_key(date: Column) -> Column:
     return F.year(date) * 100 + F.month(date)
 
 
+def financial_year_of_month(year_month: Column) -> Column:
+    """Label of the April to March year of a 202303-like month key."""
+    start = F.floor((year_month - 4) / 100).cast("int")
+    return financial_year_label(start)
+
+
 def month_start(year_month: Column) -> Column:
     return F.try_to_date(F.concat(year_month.cast("string"), F.lit("01")), "yyyyMMdd")
 

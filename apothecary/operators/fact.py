@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from apothecary.functions.scalars import (
     financial_year_label,
+    financial_year_of_month,
     financial_year_start,
     month_key,
     safe_ratio,
@@ -34,16 +35,19 @@ def _sums() -> list[Column]:
 
 
 def contractor_months(claims: DataFrame) -> DataFrame:
-    """Claims added up by contractor and month."""
-    dated = claims.withColumns(
-        {
-            "FINANCIAL_YEAR": financial_year_label(financial_year_start(F.col("CLAIM_DATE"))),
-            "YEAR_MONTH": month_key(F.col("CLAIM_DATE")),
-        }
-    )
-    return dated.groupBy("CONTRACTOR_ID", *MONTH).agg(
-        F.lit(1).cast("bigint").alias("MONTHS_ACTIVE"), *_sums()
+    """Claims added up by contractor and month.
+
+    The month is kept as a number while claims are grouped; the label of its
+    financial year is written once per month row, not once per claim.
+    """
+    per_month = (
+        claims.withColumn("YEAR_MONTH", month_key(F.col("CLAIM_DATE")))
+        .groupBy("CONTRACTOR_ID", "YEAR_MONTH")
+        .agg(*_sums())
     )
+    return per_month.selectExpr(
+        "CONTRACTOR_ID", "YEAR_MONTH", "1L AS MONTHS_ACTIVE", *VOLUMES, *MONEY
+    ).withColumn("FINANCIAL_YEAR", financial_year_of_month(F.col("YEAR_MONTH")))
 
 
 def contractor_years(months: DataFrame) -> DataFrame:

@@ -30,12 +30,16 @@ def digest_current(current: DataFrame) -> DataFrame:
         .groupBy(*KEYS)
         .agg(sum_strict("number").alias("decisions"))
     )
+    return with_total_rows(parts, "decisions")
+
+
+def with_total_rows(parts: DataFrame, value: str) -> DataFrame:
+    """Decisions by locality and, beside them, over all localities."""
     year, locality, decision = (parts[k] for k in KEYS)
     return parts.groupingSets(
         [[year, locality, decision], [year, decision]], year, locality, decision
     ).agg(
-        F.sum("decisions").alias("total_decisions"),
-        F.grouping("locality").alias("_total"),
+        F.sum(value).alias("total_decisions"), F.grouping("locality").alias("_total")
     ).select(
         "financial_year",
         F.when(F.col("_total") == 1, LOCALITIES[2]).otherwise(F.col("locality")).alias("locality"),
@@ -45,8 +49,12 @@ def digest_current(current: DataFrame) -> DataFrame:
 
 
 def table_20(history: DataFrame, current: DataFrame) -> DataFrame:
-    rows = fill_numeric(history.select(*KEYS, "total_decisions")).unionByName(
-        digest_current(current)
+    """All decisions of all years. The rows, a few per year and locality, are
+    kept while they are looked at for items, for groups and for values."""
+    rows = (
+        fill_numeric(history.select(*KEYS, "total_decisions"))
+        .unionByName(digest_current(current))
+        .persist()
     )
     return (
         complete(rows, "application_decision", ["financial_year", "locality"], "total_decisions")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from apothecary.functions.scalars import financial_year_label, financial_year_start
 from apothecary.operators import fact
 from apothecary.params import DECISIONS, GRANTED, LOCALITIES, REFUSED, ReportParams
+from apothecary.plans.appeals import KEYS, with_total_rows
 from apothecary.schemas import (
     ACTIVITY,
     CLASS,
@@ -211,14 +212,8 @@ class Sample:
         earlier = self._decisions().where(
             F.col("financial_year") < self.params.latest_year
         ).withColumn("application_decision", decision)
-        keys = ("financial_year", "locality", "application_decision")
-        parts = earlier.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_decisions"))
-        totals = (
-            parts.groupBy("financial_year", "application_decision")
-            .agg(F.sum("total_decisions").alias("total_decisions"))
-            .withColumn("locality", F.lit(LOCALITIES[2]))
-        )
-        return parts.unionByName(totals)
+        parts = earlier.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("decisions"))
+        return with_total_rows(parts, "decisions")
 
     def appeals_current(self) -> DataFrame:
         """Undigested decisions of the latest year."""

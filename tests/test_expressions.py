@@ -96,6 +96,12 @@ def test_financial_year_turns_on_1_april(spark, date, label):
     assert values(got) == [label]
 
 
+def test_financial_year_of_month(spark):
+    df = spark.createDataFrame([(200301,), (200303,), (200304,), (200312,)], "m int")
+    got = values(df.select(scalars.financial_year_of_month(F.col("m")).alias("v")))
+    assert got == ["2002/2003", "2002/2003", "2003/2004", "2003/2004"]
+
+
 def test_ratio_by_zero_or_null_is_null(spark):
     df = spark.createDataFrame([(6, 4), (6, 0), (6, None), (None, 4)], "a long, b long")
     got = df.select(scalars.safe_ratio(F.col("a"), F.col("b")).alias("v"))
