@@ -28,7 +28,7 @@ def _broadcast_if_small(bracket: DataFrame) -> DataFrame:
 
 
 def exact_median(
-    df: DataFrame, keys: list[str], value: str, name: str, accuracy: int = 10_000
+    df: DataFrame, keys: list[str], value: str, name: str, accuracy: int = 2_000
 ) -> DataFrame:
     """Median of ``value`` by ``keys``, NULL skipped, middle pair averaged.
 
@@ -36,11 +36,11 @@ def exact_median(
     memory. Here a quantile sketch of fixed size first gives two values that
     enclose the middle of each group. Rows below the bracket are only counted,
     rows inside are counted per distinct value, and the running count over the
-    inside values (about 6 / ``accuracy`` of the group) gives the middle one.
+    inside values (about 10 / ``accuracy`` of the group) gives the middle one.
     A bracket that missed the middle would be an error, never a wrong result.
     """
     present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("x"))
-    slack = 2.0 / accuracy
+    slack = 4.0 / accuracy
     bracket = present.groupBy(*keys).agg(
         F.percentile_approx("x", [0.5 - slack, 0.5 + slack], accuracy).alias("b"),
         F.count(F.lit(1)).alias("n"),

@@ -59,7 +59,7 @@ class ReportParams:
     # value of the warehouse.
     flu_falls_back_to_warehouse: bool = False
     # Rank accuracy of the bracket around the exact median (1 / this share).
-    median_bracket_accuracy: int = 10_000
+    median_bracket_accuracy: int = 2_000
 
     def for_latest_year_of(self, fact: DataFrame) -> ReportParams:
         """The same settings with the latest year read from the fact."""

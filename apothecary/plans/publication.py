@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from apothecary.params import ReportParams
 from apothecary.plans import figures, tables
 from apothecary.plans.appeals import table_20
-from apothecary.plans.extracts import MONTHLY, NATIONAL, SUB_NATIONAL, extract
+from apothecary.plans.extracts import MONTHLY, NATIONAL, SUB_NATIONAL, both_grains, extract
 from apothecary.plans.flu import with_flu_reference
 from apothecary.plans.measures import BY_NAME
 from apothecary.plans.tables import TITLES, Extracts
+from apothecary.schemas import GEOGRAPHY
 from apothecary.sinks.files import with_titles, write_csv, write_table
+from apothecary.sources.reference import fee_schedule
 
 ALL_TABLES = tuple(range(1, 21))
 
@@ -69,6 +71,21 @@ FIELDS = (
 )
 
 
+@dataclass(frozen=True)
+class Kept:
+    """Extracts by grain, and the frames Spark holds for them."""
+
+    by_grain: dict[tuple[str, ...], DataFrame]
+    held: tuple[DataFrame, ...]
+
+    def __call__(self, grain: tuple[str, ...], measures: list[str]) -> DataFrame:
+        return self.by_grain[grain]
+
+    def release(self) -> None:
+        for df in self.held:
+            df.unpersist()
+
+
 @dataclass(frozen=True)
 class Publication:
     """The inputs of a run: facts, reference data and settings."""
@@ -81,32 +98,48 @@ class Publication:
     appeals_current: DataFrame
     params: ReportParams
 
-    def extracts(self) -> Extracts:
+    def extracts(self) -> Kept:
         """Full extracts, computed once and kept for all tables and figures.
 
-        They hold a row per period, class and area, however large the facts.
+        The year fact is read once for both of its grains. What is kept is a
+        row per period, class and area, however large the facts.
         """
-        kept = {
-            NATIONAL: with_flu_reference(
-                extract(self.year_fact, NATIONAL, self.params), self.flu, self.params
-            ).persist(),
-            SUB_NATIONAL: extract(self.year_fact, SUB_NATIONAL, self.params).persist(),
-            MONTHLY: extract(self.month_fact, MONTHLY, self.params).persist(),
-        }
-        return lambda grain, measures: kept[grain]
+        both = both_grains(self.year_fact, self.params).persist()
+        months = extract(self.month_fact, MONTHLY, self.params).persist()
+        national = both.where("grain = 'national'").drop(
+            "grain", *[k.lower() for k in GEOGRAPHY]
+        )
+        return Kept(
+            {
+                NATIONAL: with_flu_reference(national, self.flu, self.params),
+                SUB_NATIONAL: both.where("grain = 'sub_national'").drop("grain"),
+                MONTHLY: months,
+            },
+            (both, months),
+        )
 
     def table(self, number: int, extracts: Extracts) -> DataFrame:
         if number == 20:
             return table_20(self.appeals_history, self.appeals_current)
         return tables.table(number, extracts, self.params)
 
-    def publish_tables(self, folder: str, numbers: tuple[int, ...] = ALL_TABLES) -> None:
+    def publish(self, folder: str) -> None:
+        """Every table and figure; what was kept for them is let go again."""
+        extracts = self.extracts()
+        try:
+            self.publish_tables(f"{folder}/tables", extracts)
+            self.publish_figures(f"{folder}/figures", extracts)
+        finally:
+            extracts.release()
+
+    def publish_tables(
+        self, folder: str, extracts: Extracts, numbers: tuple[int, ...] = ALL_TABLES
+    ) -> None:
         """Each table as Parquet and CSV, with field dictionary and contents.
 
         The CSV is written from the Parquet file, so that no table is computed
         twice. Tables are small and independent; some are written at a time.
         """
-        extracts = self.extracts()
 
         def publish(n: int) -> None:
             path = f"{folder}/table_{n:02d}"
@@ -118,9 +151,8 @@ class Publication:
         write_csv(field_dictionary(self.spark), f"{folder}/fields")
         write_csv(contents(self.spark), f"{folder}/contents")
 
-    def publish_figures(self, folder: str) -> None:
+    def publish_figures(self, folder: str, extracts: Extracts) -> None:
         """The long and the wide data of each figure as CSV."""
-        extracts = self.extracts()
 
         def publish(spec: figures.FigureSpec) -> None:
             long = figures.figure_long(spec, extracts, self.params)
@@ -129,6 +161,7 @@ class Publication:
             write_csv(wide, f"{folder}/{spec.name}/wide")
 
         _several_at_a_time(publish, figures.SPECS)
+        write_csv(figures.fee_display(fee_schedule(self.spark)), f"{folder}/figure_19")
 
 
 def _several_at_a_time(work, items) -> None:

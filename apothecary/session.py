@@ -22,6 +22,8 @@ def configure(spark: SparkSession) -> SparkSession:
     several smaller methods: half the time for the month sums.
     """
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    # Quantile sketches are small; some hundred groups of them may stay hashed.
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1024")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -242,7 +242,10 @@ def _publication(s: Inputs) -> Publication:
 
 def _published(s: Inputs):
     folder = run_folder(s.spark, "publication")
-    _publication(s).publish_tables(folder)
+    publication = _publication(s)
+    extracts = publication.extracts()
+    publication.publish_tables(folder, extracts)
+    extracts.release()
     return published_rows(s.spark, folder).select("position", "row_count")
 
 

@@ -14,7 +14,7 @@ from apothecary.operators.median import exact_median
 from apothecary.operators.reshape import complete, to_long, to_wide
 from apothecary.params import DECISIONS, ReportParams
 from apothecary.plans.appeals import digest_current, table_20
-from apothecary.schemas import APPEALS_CURRENT, APPEALS_HISTORY
+from apothecary.schemas import APPEALS_CURRENT, APPEALS_HISTORY, MONEY, VOLUMES
 from apothecary.sources import reference
 from apothecary.sources.warehouse import JdbcTable
 
@@ -24,7 +24,7 @@ D = datetime.date
 # -- median ---------------------------------------------------------------------
 
 
-def medians(spark, groups, accuracy=10_000):
+def medians(spark, groups, accuracy=2_000):
     rows = [(g, x) for g, xs in groups.items() for x in xs]
     df = spark.createDataFrame(rows, "g string, x double")
     return {r["g"]: r["m"] for r in exact_median(df, ["g"], "x", "m", accuracy).collect()}
@@ -41,7 +41,7 @@ def test_median_with_null_key(spark):
     assert got == {None: 1.5, "a": 7.0}
 
 
-@pytest.mark.parametrize("accuracy", [20, 100, 10_000])
+@pytest.mark.parametrize("accuracy", [20, 100, 2_000, 10_000])
 def test_median_of_large_skewed_groups(spark, accuracy):
     """A bracket far narrower than the group, ties, and one dominant group."""
     rng = random.Random(accuracy)
@@ -210,6 +210,34 @@ def test_volume_bands_include_their_upper_bound(spark):
     ]
 
 
+def test_month_sums_with_one_hot_contractor(spark):
+    """A third of all claims by one contractor, against plain Python sums."""
+    rng = random.Random(3)
+    columns = (*VOLUMES, *MONEY)
+    claims, wanted = [], {}
+    for i in range(3_000):
+        who = 7 if i % 3 == 0 else rng.randrange(40)
+        day = D(2020, 1, 1) + datetime.timedelta(days=rng.randrange(400))
+        row = {c: rng.choice([None, 0, rng.randrange(10**9)]) for c in columns}
+        claims.append((who, day, *row.values()))
+        sums = wanted.setdefault((who, day.year * 100 + day.month), dict.fromkeys(columns))
+        for c, x in row.items():
+            if x is not None:
+                sums[c] = (sums[c] or 0) + x
+    schema = "CONTRACTOR_ID long, CLAIM_DATE date, " + ", ".join(f"{c} long" for c in columns)
+    months = fact.contractor_months(spark.createDataFrame(claims, schema))
+    got = {
+        (r["CONTRACTOR_ID"], r["YEAR_MONTH"]): {c: r[c] for c in columns}
+        for r in months.collect()
+    }
+    assert got == wanted
+    years = fact.contractor_years(months).where("CONTRACTOR_ID = 7 AND FINANCIAL_YEAR = '2019/2020'")
+    hot = [v for (who, m), v in wanted.items() if who == 7 and 201904 <= m <= 202003]
+    row = years.first()
+    assert row["MONTHS_ACTIVE"] == len(hot) == 3
+    assert row["NIC"] == sum(v["NIC"] for v in hot)
+
+
 def test_owner_type_counts_per_period(spark):
     rows = [("y1", "big")] * 6 + [("y1", "small")] * 5 + [("y2", "big")] * 5
     df = spark.createDataFrame(rows, "FINANCIAL_YEAR string, OWNER_ID string")

@@ -146,13 +146,12 @@ def test_fields_and_contents(spark):
 def test_publication(spark, inputs, tmp_path):
     out = str(tmp_path / "out")
     publication = _publication(inputs)
-    publication.publish_tables(out)
-    publication.publish_figures(out)
-    rows = published_rows(spark, out).collect()
+    publication.publish(out)
+    rows = published_rows(spark, f"{out}/tables").collect()
     assert len(rows) == 20 and all(r["row_count"] > 0 for r in rows)
-    stored = spark.read.parquet(f"{out}/table_03/parquet")
+    stored = spark.read.parquet(f"{out}/tables/table_03/parquet")
     assert stored.schema["items_total"].metadata["title"] == "Total of ITEMS"
     alone = tables.table(3, inputs.extracts(), inputs.params)
     assert row_sets(stored) == row_sets(alone)
-    csv = spark.read.csv(f"{out}/figure_17/wide", header=True)
+    csv = spark.read.csv(f"{out}/figures/figure_17/wide", header=True)
     assert csv.columns == ["year_month", "cost_of_consultation_fees", "cost_of_products"]
