@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from apothecary.sources.warehouse import read_fact
 
 _own_folder: dict[str, str] = {}
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple[str, ...], str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -62,13 +62,14 @@ def written_once(
     build: Callable[[], DataFrame],
     schema: T.StructType,
     partition: str | None = None,
+    settings: object = None,
 ) -> DataFrame:
-    """``build()`` written as a table, once per application.
+    """``build()`` written as a table, once per application and settings.
 
     The rebalance hint lets adaptive execution size the files: a year with
     many rows is split over several, small ones are not shredded.
     """
-    key = (spark.sparkContext.applicationId, source, name)
+    key = (spark.sparkContext.applicationId, source, name, repr(settings))
     if key not in _written:
         path = f"{run_folder(spark, 'facts')}/{len(_written):03d}_{name}"
         by = [partition] if partition else []

@@ -161,6 +161,7 @@ class Sample:
             lambda: require(self._fact(self.activity(), fact.MONTH), MONTH_FACT),
             MONTH_FACT,
             "FINANCIAL_YEAR",
+            self.params,
         )
 
     def year_fact(self) -> DataFrame:
@@ -172,6 +173,7 @@ class Sample:
             lambda: self.year_fact_from(self.activity()),
             YEAR_FACT,
             "FINANCIAL_YEAR",
+            self.params,
         )
 
     # -- reference data -----------------------------------------------------

@@ -1,5 +1,7 @@
 """Invariants of tables, quirks of extracts, and the publication run."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +58,45 @@ def test_both_grains_equal_the_two_extracts(inputs):
         assert row_sets(got) == row_sets(alone)
 
 
+def fact_rows(spark, rows):
+    """Year fact rows from the columns given; the others are NULL."""
+    full = [tuple(r.get(n) for n in YEAR_FACT.fieldNames()) for r in rows]
+    return spark.createDataFrame(full, YEAR_FACT)
+
+
+def test_missing_geography_and_measures(spark):
+    """Rows without a board form a group of their own, also next to grouping sets."""
+    base = {"FINANCIAL_YEAR": "2022/2023", "APPLIANCE_DISPENSER_HIST": "N"}
+    rows = [
+        {**base, "CONTRACTOR_ID": 1, "ITEMS": 5, "AVG_MONTHLY_ITEMS": 1.0},
+        {**base, "CONTRACTOR_ID": 2, "AVG_MONTHLY_ITEMS": 4.0},
+        {**base, "CONTRACTOR_ID": 3, "ICB_CODE": "A", "ICB_NAME": "a", "ITEMS": 7,
+         "AVG_MONTHLY_ITEMS": 9.0, "START_DATE_HIST": "9999-12-31",
+         "CLOSE_DATE_HIST": "31/12/9999"},
+        {**base, "CONTRACTOR_ID": 4, "ICB_CODE": "A", "ICB_NAME": "a"},
+    ]
+    both = both_grains(fact_rows(spark, rows), ReportParams()).collect()
+    got = {
+        (r["grain"], r["icb_code"]): (
+            r["num_contractors"], r["items_total"], r["avg_monthly_items_pharm"],
+            r["num_open_pharm"], r["num_close_pharm"], r["num_nms_pharm"],
+        )
+        for r in both
+    }
+    assert got == {
+        ("national", None): (4, 12, 4.0, 0, 0, 0),
+        ("sub_national", None): (2, 5, 2.5, 0, 0, 0),
+        ("sub_national", "A"): (2, 7, 9.0, 0, 0, 0),
+    }
+
+
+def test_facts_follow_their_settings(spark, inputs):
+    many = Inputs(spark, FOLDER, replace(inputs.params, multiple_owner_size=1))
+    kinds = many.year_fact().select("CONTRACTOR_TYPE").distinct().collect()
+    assert [r[0] for r in kinds] == ["Multiple contractor"]
+    assert many.year_fact().count() == inputs.year_fact().count()
+
+
 def test_all_contractors_equal_both_classes(inputs):
     ex = inputs.extracts()
     whole = {r["financial_year"]: r for r in tables.table(12, ex, inputs.params).collect()}
@@ -155,3 +196,27 @@ def test_publication(spark, inputs, tmp_path):
     assert row_sets(stored) == row_sets(alone)
     csv = spark.read.csv(f"{out}/figures/figure_17/wide", header=True)
     assert csv.columns == ["year_month", "cost_of_consultation_fees", "cost_of_products"]
+
+
+def test_job_from_files(spark, inputs, tmp_path):
+    """The command line job, over facts and reference files on disk."""
+    from apothecary.sinks.files import write_csv
+    from publish import run
+
+    at = lambda name: str(tmp_path / name)
+    inputs.year_fact().write.partitionBy("FINANCIAL_YEAR").parquet(at("years"))
+    inputs.month_fact().write.partitionBy("FINANCIAL_YEAR").parquet(at("months"))
+    write_csv(inputs.flu_reference(), at("flu"))
+    write_csv(inputs.appeals_history(), at("history"))
+    write_csv(inputs.appeals_current(), at("current"))
+    run(
+        spark,
+        ["--years", at("years"), "--months", at("months"), "--flu", at("flu"),
+         "--appeals-history", at("history"), "--appeals-current", at("current"),
+         "--out", at("out"), "--latest-year", "2001/2002"],
+    )
+    stored = spark.read.parquet(at("out/tables/table_17/parquet"))
+    alone = tables.table(17, inputs.extracts(), inputs.params)
+    assert row_sets(stored) == row_sets(alone)
+    appeals = spark.read.parquet(at("out/tables/table_20/parquet"))
+    assert appeals.where("financial_year = '2001/2002'").count() == 9
