@@ -51,6 +51,17 @@ def lowest_so_far(x: Column, keys: Sequence[str], order: str) -> Column:
     return x == F.min(x).over(_so_far(keys, order))
 
 
+def highest_since(x: str, keys: Sequence[str], order: str) -> Column:
+    """The last earlier period with a value as high; NULL when there is none.
+
+    The earlier periods of a series are few and travel in one array.
+    """
+    before = _series(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.collect_list(F.struct(F.col(order).alias("at"), F.col(x).alias("x"))).over(before)
+    as_high = F.filter(earlier, lambda e: e["x"] >= F.col(x))
+    return F.try_element_at(as_high, F.lit(-1))["at"]
+
+
 def rank_from_highest(x: Column, keys: Sequence[str]) -> Column:
     return F.rank().over(Window.partitionBy(*keys).orderBy(x.desc_nulls_last()))
 

@@ -165,7 +165,7 @@ class Publication:
 
 
 def _several_at_a_time(work, items) -> None:
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=8) as pool:
         list(pool.map(work, items))
 
 

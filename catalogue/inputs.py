@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from apothecary.functions.scalars import financial_year_label, financial_year_start, safe_ratio
 from apothecary.operators import fact
 from apothecary.plans import figures, tables
+from apothecary.plans.extracts import NATIONAL, extract
 from apothecary.plans.publication import Publication, published_rows
 from apothecary.schemas import MONEY, VOLUMES, YEAR_FACT
 from apothecary.session import run_folder
@@ -228,6 +229,16 @@ def _table_file(s: Inputs):
 query("snk1_table_file", BODIES["tab06_advanced_services"])(_table_file)
 
 
+def _extract_dump(s: Inputs):
+    folder = run_folder(s.spark, "files/national_extract")
+    national = extract(s.year_fact(), NATIONAL, s.params)
+    write_rows(national, folder)
+    return s.spark.read.csv(folder, header=True, schema=national.schema)
+
+
+query("snk1_extract_dump", BODIES["ext1_national"])(_extract_dump)
+
+
 def _publication(s: Inputs) -> Publication:
     return Publication(
         s.spark,

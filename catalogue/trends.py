@@ -79,6 +79,17 @@ query(
         "place", trends.rank_from_highest(F.col("items_total"), SERIES).cast("bigint")
     )
 )
+query(
+    "win6_highest_since",
+    f"""SELECT {KEYS}, a.items_total, (SELECT max(b.{YEAR}) FROM national b
+    WHERE b.{SERIES[0]} = a.{SERIES[0]} AND b.{YEAR} < a.{YEAR}
+    AND b.items_total >= a.items_total) AS highest_since FROM national a""",
+)(
+    lambda s: _national(s, "items_total").select(
+        YEAR, *SERIES, "items_total",
+        trends.highest_since("items_total", SERIES, YEAR).alias("highest_since"),
+    )
+)
 # The run is restated by counting back: rises since the last year without one.
 query(
     "win7_rising_run",

@@ -186,6 +186,7 @@ def test_trends(spark):
                 "top": trends.highest_so_far(x, ["k"], "y"),
                 "low": trends.lowest_so_far(x, ["k"], "y"),
                 "rank": trends.rank_from_highest(x, ["k"]),
+                "highest": trends.highest_since("x", ["k"], "y"),
             }
         ),
         "x", ["k"], "y", "run",
@@ -195,6 +196,7 @@ def test_trends(spark):
     assert [r["top"] for r in got] == [True, True, True, True, False, False, True, True]
     assert [r["low"] for r in got] == [True, False, False, False, True, False, False, False]
     assert got[1]["percent"] == 25.0 and got[7]["since"] == 125.0 and got[7]["fold"] == 2.25
+    assert [r["highest"] for r in got] == [None, None, None, 2, 3, 3, None, None]
     assert [r["rank"] for r in got] == [6, 5, 3, 3, 8, 6, 2, 1]
 
 
@@ -231,7 +233,9 @@ def test_month_sums_with_one_hot_contractor(spark):
         for r in months.collect()
     }
     assert got == wanted
-    years = fact.contractor_years(months).where("CONTRACTOR_ID = 7 AND FINANCIAL_YEAR = '2019/2020'")
+    years = fact.contractor_years(months).where(
+        "CONTRACTOR_ID = 7 AND FINANCIAL_YEAR = '2019/2020'"
+    )
     hot = [v for (who, m), v in wanted.items() if who == 7 and 201904 <= m <= 202003]
     row = years.first()
     assert row["MONTHS_ACTIVE"] == len(hot) == 3
