@@ -13,8 +13,12 @@ NO_DATE_YEAR = 9999
 
 
 def parse_date(text: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
-    """First pattern that fits; NULL for other text and for the year 9999."""
-    parsed = F.coalesce(*[F.try_to_date(text, p) for p in patterns])
+    """First pattern that fits; NULL for other text and for the year 9999.
+
+    A time of day after the date is ignored.
+    """
+    day = F.substring_index(F.trim(text), " ", 1)
+    parsed = F.coalesce(*[F.try_to_date(day, p) for p in patterns])
     return F.when(F.year(parsed) != NO_DATE_YEAR, parsed)
 
 
@@ -80,7 +84,8 @@ def signif3(x: Column) -> Column:
 
 def recode(x: Column, match: str, then: str, otherwise: str) -> Column:
     """Two-way recode that leaves NULL alone."""
-    return F.when(x.isNull(), F.lit(None).cast("string")).when(x == match, then).otherwise(otherwise)
+    missing = F.lit(None).cast("string")
+    return F.when(x.isNull(), missing).when(x == match, then).otherwise(otherwise)
 
 
 def labelled(x: Column, labels: Mapping[str, str]) -> Column:

@@ -60,8 +60,8 @@ FIELDS = (
     ("Integrated Care Board Code", "Code of the local board a contractor belongs to."),
     ("Item", "One product on one prescription form."),
     ("MUR", "Review of a patient's use of several medicines; since discontinued."),
-    ("NHS England Region Name", "Name of the region a contractor belongs to."),
-    ("NHS England Region Code", "Code of the region a contractor belongs to."),
+    ("Region Name", "Name of the region a contractor belongs to."),
+    ("Region Code", "Code of the region a contractor belongs to."),
     ("NMS", "Support for patients who start a new medicine."),
     ("PCS", "Supply of oral contraception by pharmacies."),
     ("Pharmacy First", "Advice and treatment for seven common conditions."),

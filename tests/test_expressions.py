@@ -68,7 +68,10 @@ def test_sole_refuses_a_second_row(sums):
         ("01/04/2023", D(2023, 4, 1)),
         ("1/4/2023", D(2023, 4, 1)),
         ("2023-04-01", D(2023, 4, 1)),
+        ("01/04/2023 00:00:00", D(2023, 4, 1)),
+        ("31/12/9999 00:00", None),
         ("bad", None),
+        ("", None),
         (None, None),
     ],
 )
