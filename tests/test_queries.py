@@ -15,7 +15,7 @@ def con():
     return database(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES])
 def test_query(spark, con, name):
     assert difference(QUERIES[name](spark, FOLDER), con, ORACLES[name]) is None
 
