@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from apothecary.llm import bottom_k, bpe, hypervectors, mixing, toxicity
+from apothecary.llm import bottom_k, bpe, hypervectors, mixing, repeats, toxicity
 from apothecary.llm.shared import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,11 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digest(documents(spark, folder))
+
+
+ORACLES["op8_substring_dedup"] = repeats.ORACLE

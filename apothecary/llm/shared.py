@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     This cuts the lineage: a lost executor costs tasks that read the table,
-    not the work behind it. Each call writes a folder of its own.
+    not the work behind it. Each call writes a folder of its own. Shuffle files
+    of earlier steps go when the driver collects its garbage, so it does that first.
     """
     spark = df.sparkSession
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     path = f"{run_folder(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
