@@ -128,11 +128,11 @@ def _with(state: DataFrame, more: DataFrame) -> DataFrame:
     return state.join(more, same, "left").withColumn("extra", F.col("extra") | F.col("b").isNotNull()).drop("s", "b")
 
 
-def mixed_sources(docs: DataFrame) -> DataFrame:
-    """Each document of ``docs`` (doc_id, source, text) with the words the mix takes of it."""
-    sized = stored(docs.select("doc_id", "source", word_count().alias("size")), "sizes")
+def mixed_sources(docs: DataFrame, *also: str) -> DataFrame:
+    """Each document of ``docs`` (doc_id, source, text) with the words the mix takes of it; ``also`` names columns to keep."""
+    sized = stored(docs.select("doc_id", "source", *also, word_count().alias("size")), "sizes")
     targets = source_targets(sized).withColumnRenamed("source", "s")
     rows = sized.join(targets, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     return sampled(rows).withColumn("taken", F.col("copies") * F.col("size")).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", "taken"
+        "doc_id", *also, "source", "size", "source_size", "target", "copies", "taken"
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from apothecary.llm import bottom_k, bpe, hypervectors, mixing, repeats, toxicity
+from apothecary.llm import bottom_k, bpe, chosen_path, hypervectors, mixing, repeats, toxicity
 from apothecary.llm.shared import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predictions(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+@query
+def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.near_duplicates(documents(spark, folder))
+
+
 @query
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_sources(documents(spark, folder))
@@ -49,4 +54,5 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.digest(documents(spark, folder))
 
 
+ORACLES["op2_near_dedup"] = chosen_path.ORACLE
 ORACLES["op8_substring_dedup"] = repeats.ORACLE

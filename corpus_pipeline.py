@@ -1,38 +1,64 @@
-"""A corpus pipeline: score, deduplicate, mix and encode ``documents``."""
+"""A corpus pipeline over ``documents``: score, deduplicate twice, mix, encode.
+
+Each stage takes all documents its predecessor kept and returns the columns of
+``documents``; the last returns digests of the token ids. Stages are judged by the
+operators' own rules for null ids and texts, ties and empty tables.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apothecary.llm import mixing, toxicity
+from apothecary.llm import bpe, chosen_path, mixing, repeats, toxicity
 from apothecary.llm.shared import documents, stored
 
-import public_tokenizers
-from apothecary.llm import bpe
+NEAR = chosen_path.NearSettings(words=5, percent=80)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject."""
+    """Documents with a toxicity score below 0.5."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.scored(docs, model, score="toxicity").where(F.col("toxicity") < 0.5).drop("toxicity")
+    return toxicity.scored(docs, model, score="toxicity").where("toxicity < 0.5").select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of smallest doc_id."""
+    copies = chosen_path.near_duplicates(docs, NEAR).where("NOT kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of passages that start earlier; the others are unchanged.
+
+    A text that loses words has the rest joined by one space, and ``n_chars`` follows.
+    """
+    cut = F.col("n_removed") > 0
+    rows = repeats.without_repeats(docs).withColumn("text", F.when(cut, F.col("kept")).otherwise(F.col("text")))
+    return rows.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    sized = stored(docs.select(*docs.columns, mixing.word_count().alias("size")).withColumn("row", F.monotonically_increasing_id()), "mix")
-    copies = mixing.mixed_sources(sized.withColumnRenamed("doc_id", "own_id").withColumnRenamed("row", "doc_id"))
-    taken = copies.where("copies > 0").select(F.col("doc_id").alias("row"), "copies")
-    rows = sized.join(taken, "row")
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
+    numbered = stored(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    taken = mixing.mixed_sources(numbered, "row").where("copies > 0").select("row", F.sequence(F.lit(1), "copies").alias("copies"))
+    return numbered.join(taken, "row").withColumn("copy", F.explode("copies")).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
+    """Token ids of each document, as digests."""
     return bpe.digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("toxicity", without_toxic), ("mixing", mixed_to_targets), ("encoding", encoded)]
+STAGES = [
+    ("toxicity", without_toxic),
+    ("near_dedup", without_near_copies),
+    ("substring_dedup", without_repeated_passages),
+    ("mixing", mixed_to_targets),
+    ("encoding", encoded),
+]
+# Scores, hashes and merges have no SQL; tests compare with a version in plain Python.
 ORACLE_SQL = None
 
 
