@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from apothecary.llm import bottom_k, bpe, chosen_path, hypervectors, mixing, repeats, toxicity
+from apothecary.llm import bottom_k, bpe, chosen_path, html_text, hypervectors, mixing, repeats, toxicity
 from apothecary.llm.shared import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +57,9 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLES["op2_near_dedup"] = chosen_path.ORACLE
 ORACLES["op8_substring_dedup"] = repeats.ORACLE
+
+
+@query
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html")
+    return html_text.extracted(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
