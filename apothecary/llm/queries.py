@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apothecary.llm import bottom_k, bpe, chosen_path, html_text, hypervectors, mixing, repeats, toxicity
+from apothecary.llm import bottom_k, bpe, chosen_path, html_text, hypervectors, mixing, nn_descent, repeats, toxicity
 from apothecary.llm.shared import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,9 @@ ORACLES["op8_substring_dedup"] = repeats.ORACLE
 def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html")
     return html_text.extracted(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
+    return nn_descent.nearest(vectors, asks=F.col("id") % 20 == 0)
