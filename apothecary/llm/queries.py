@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apothecary.llm import bottom_k, bpe, chosen_path, html_text, hypervectors, mixing, nn_descent, repeats, toxicity
+from apothecary.llm import bottom_k, bpe, chosen_path, html_text, hypervectors, mixing, nn_descent, repeats, token_files, toxicity
 from apothecary.llm.shared import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
     return nn_descent.nearest(vectors, asks=F.col("id") % 20 == 0)
+
+
+@query
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.read(token_files.write(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json")))
