@@ -46,6 +46,10 @@ _MASK = np.uint64((1 << 48) - 1)
 _HALF = np.uint64(16)
 
 
+_WIDE = SYMBOLS + 1
+_ROW = np.dtype((np.void, 4 * _WIDE))
+
+
 class _Models:
     """The models of all blocks of a segment."""
 
@@ -55,24 +59,27 @@ class _Models:
         self.sums0 = np.tile(_EVEN, (lanes, 1))
         self.sums1 = np.tile(_EVEN, (lanes * CONFIDENCES, 1))
         self.sums2 = np.tile(_EVEN, (lanes * CONFIDENCES, 1))
-        self.weight1 = np.full(lanes, 1 << 14, np.int64)
-        self.weight2 = np.full(lanes, 1 << 14, np.int64)
+        # The same memory as whole rows, which are written faster.
+        self.rows1, self.rows2 = (x.view(_ROW).reshape(-1) for x in (self.sums1, self.sums2))
+        self.weight1 = np.full(lanes, 1 << 14, np.int32)
+        self.weight2 = np.full(lanes, 1 << 14, np.int32)
         self.last1 = np.zeros(lanes, np.int64)
         self.last2 = np.zeros(lanes, np.int64)
         self.lane = np.arange(lanes)
+        self.slot, self.level, self.cell = self.lane * SLOTS, self.lane * CONFIDENCES, self.lane * _WIDE
 
     def predict(self, k: int) -> np.ndarray:
-        """Mixed distribution of each of the first ``k`` blocks."""
-        base = self.lane[:k] * SLOTS
-        self.at1 = base + ((self.last1[:k] * 0x9E3B >> 3) & (SLOTS - 1))
-        self.at2 = base + (((self.last1[:k] * 0x9E3B + self.last2[:k] * 0x85EBCB) >> 7) & (SLOTS - 1))
-        self.entry1, self.entry2 = self.seen1[self.at1], self.seen2[self.at2]
+        """Mixed distribution of each of the first ``k`` blocks, as sums up to each symbol."""
+        one = self.last1[:k] * 0x9E3B
+        self.at1 = self.slot[:k] + ((one >> 3) & (SLOTS - 1))
+        self.at2 = self.slot[:k] + (((one + self.last2[:k] * 0x85EBCB) >> 7) & (SLOTS - 1))
+        self.entry1, self.entry2 = self.seen1.take(self.at1), self.seen2.take(self.at2)
         self.id1, self.id2 = self.entry1 >> 3, self.entry2 >> 3
-        self.row1 = self.lane[:k] * CONFIDENCES + (self.entry1 & 7)
-        self.row2 = self.lane[:k] * CONFIDENCES + (self.entry2 & 7)
-        self.own0, self.own1, self.own2 = self.sums0[:k], self.sums1[self.row1], self.sums2[self.row2]
-        w1 = (self.weight1[:k] >> 10).astype(np.int32)
-        w2 = (self.weight2[:k] >> 10).astype(np.int32)
+        self.row1 = self.level[:k] + (self.entry1 & 7)
+        self.row2 = self.level[:k] + (self.entry2 & 7)
+        self.own0 = self.sums0[:k]
+        self.own1, self.own2 = self.sums1.take(self.row1, 0), self.sums2.take(self.row2, 0)
+        w1, w2 = self.weight1[:k] >> 10, self.weight2[:k] >> 10
         mixed = self.own0 * (64 - w1 - w2)[:, None]
         mixed += self.own1 * w1[:, None]
         mixed += self.own2 * w2[:, None]
@@ -80,19 +87,25 @@ class _Models:
         return mixed
 
     def update(self, k: int, symbol: np.ndarray, ids: np.ndarray) -> None:
-        lane = self.lane[:k]
-        share = [x[lane, symbol + 1].astype(np.int64) - x[lane, symbol] for x in (self.own0, self.own1, self.own2)]
-        total = share[0] + share[1] + share[2]
-        self.weight1[:k] += ((share[1] << 16) // total - self.weight1[:k]) >> RATE
-        self.weight2[:k] += ((share[2] << 16) // total - self.weight2[:k]) >> RATE
-        target = _TARGET[symbol]
+        """``ids`` came, as ``symbol``."""
+        cell = self.cell[:k] + symbol
+        above = cell + 1
+        share0, share1, share2 = (x.reshape(-1).take(above) - x.reshape(-1).take(cell) for x in (self.own0, self.own1, self.own2))
+        total = (share0 + share1 + share2).astype(np.float64)
+        # Quotients of integers below 2**31, so exact enough to be the same everywhere.
+        self.weight1[:k] += ((share1 * 65536.0 / total).astype(np.int32) - self.weight1[:k]) >> RATE
+        self.weight2[:k] += ((share2 * 65536.0 / total).astype(np.int32) - self.weight2[:k]) >> RATE
+        target = _TARGET.take(symbol, 0)
+        for own in (self.own1, self.own2):
+            own += (target - own) >> RATE
         self.own0 += (target - self.own0) >> RATE
-        self.sums1[self.row1] = self.own1 + ((target - self.own1) >> RATE)
-        self.sums2[self.row2] = self.own2 + ((target - self.own2) >> RATE)
-        new = (ids << 3).astype(np.int32)
+        self.rows1[self.row1] = self.own1.view(_ROW).reshape(-1)
+        self.rows2[self.row2] = self.own2.view(_ROW).reshape(-1)
+        short = ids.astype(np.int32)
+        new = short << 3
         for seen, at, entry, known in ((self.seen1, self.at1, self.entry1, self.id1), (self.seen2, self.at2, self.entry2, self.id2)):
             sure = entry & 7
-            seen[at] = np.where(known == ids, entry + (sure < 7), np.where(sure > 1, entry - 2, new))
+            seen[at] = np.where(known == short, entry + (sure < 7), np.where(sure > 1, entry - 2, new))
         self.last2[:k] = self.last1[:k]
         self.last1[:k] = ids
 
@@ -124,9 +137,9 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
         sums = models.predict(k)
         symbol = np.where(x == models.id2, 0, np.where(x == models.id1, 1, _CLASS[x >> 8]))
         raw[t, :k] = symbol > 1
-        lane = models.lane[:k]
-        begin = sums[lane, symbol].astype(np.uint64)
-        width = sums[lane, symbol + 1].astype(np.uint64) - begin
+        cell = models.cell[:k] + symbol
+        begin = sums.reshape(-1).take(cell).astype(np.uint64)
+        width = sums.reshape(-1).take(cell + 1).astype(np.uint64) - begin
         unit = span[:k] >> np.uint64(PRECISION)
         low[:k] += begin * unit
         span[:k] = width * unit
@@ -212,9 +225,9 @@ def decode(data: bytes) -> np.ndarray:
         unit = span[:k] >> np.uint64(PRECISION)
         place = np.minimum(code[:k] // unit, np.uint64((1 << PRECISION) - 1)).astype(np.int32)
         symbol = (sums[:, 1:-1] <= place[:, None]).sum(1)
-        lane = models.lane[:k]
-        first = sums[lane, symbol].astype(np.uint64)
-        width = sums[lane, symbol + 1].astype(np.uint64) - first
+        cell = models.cell[:k] + symbol
+        first = sums.reshape(-1).take(cell).astype(np.uint64)
+        width = sums.reshape(-1).take(cell + 1).astype(np.uint64) - first
         code[:k] -= first * unit
         span[:k] = width * unit
         small = np.flatnonzero(span[:k] < _LOW)
