@@ -18,7 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from apothecary.llm.bpe import with_column
 from apothecary.llm.order import partitions
 from apothecary.llm.textvec import byte_sums, flat, sliced, span_hashes
 
@@ -97,10 +99,8 @@ def unpacked(text: str) -> np.ndarray:
 
 
 def fingerprinted(df: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
-    """``df`` with the packed sketch of each text."""
-    from pyspark.sql import types as T
-
-    from apothecary.llm.bpe import with_column
+    """``df`` with the packed sketch of each text in a column ``name``, in place of one of that name."""
+    df = df.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

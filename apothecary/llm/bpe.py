@@ -247,13 +247,12 @@ def rank_encoder(path: str, pattern: str) -> Words:
 
 
 def with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    if name in df.columns:
-        raise ValueError(f"there is a column {name} already")
     return T.StructType([*df.schema.fields, T.StructField(name, kind)])
 
 
 def encoded(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the packed ids of each text in a binary column ``ids``."""
+    """``df`` with the packed ids of each text in a binary column ``ids``, in place of one of that name."""
+    df = df.drop(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = rank_encoder(ranks_path, pattern)
@@ -266,7 +265,8 @@ def encoded(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id
 
 
 def decoded(df: DataFrame, ranks_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``df`` with the bytes that packed ``ids`` stand for in a binary column ``text``."""
+    """``df`` with the bytes that packed ``ids`` stand for in a binary column ``text``, in place of one of that name."""
+    df = df.drop(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = Ranks(ranks_path)

@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) ->
 
     named = features.drop("tokens").join(classes.select(*same, "rep"), same, "left")
     return named.join(final, F.col("rep") == F.col("id"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -190,7 +190,8 @@ def main_text(html: str) -> str:
 
 
 def extracted(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
-    """``df`` with the main text of each page in a column ``text``."""
+    """``df`` with the main text of each page in a column ``text``, in place of one of that name."""
+    df = df.drop(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -228,7 +228,9 @@ def _stepped(beam: int, width: int):
             a, b = np.searchsorted(q, [query, query + 1])
             mine = np.array(beams, np.int64)
             ids, first = np.unique(np.concatenate([mine, node[a:b]]), return_index=True)
+            # The component that makes lengths equal is no part of a query.
             vector = np.frombuffer(own, np.int8).astype(np.float32)
+            vector[-1] = 0
             score = np.concatenate([np.array(sims, np.float32), x[a:b] @ vector if b > a else np.zeros(0, np.float32)])[first]
             was = np.concatenate([np.array(done, bool), np.zeros(b - a, bool)])[first]
             best = np.lexsort((ids, -score))[:beam]

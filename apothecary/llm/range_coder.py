@@ -197,7 +197,7 @@ def _packed(value: np.ndarray, bits: np.ndarray) -> bytes:
 
 
 def decode(data: bytes) -> np.ndarray:
-    """The ids of a segment; a ValueError if it is damaged."""
+    """The ids of a segment; a ValueError if a block is damaged."""
     magic, block, n = struct.unpack_from("<4sIQ", data)
     if magic != MAGIC:
         raise ValueError("this is no segment")
@@ -214,6 +214,7 @@ def decode(data: bytes) -> np.ndarray:
         raw[i, :sizes[i]] = np.frombuffer(data, "<u4", sizes[i], begin[i] + 2 * counts[i])
     # Each place holds its own and the next 32 bits.
     raw[:, :-1] |= raw[:, 1:] << np.uint64(32)
+    # Damaged blocks may read past their ends; their checksums tell.
     models = _Models(lanes)
     code = (words[:, 0] << np.uint64(32)) | (words[:, 1] << _HALF) | words[:, 2]
     span = np.full(lanes, _MASK, np.uint64)
@@ -232,7 +233,7 @@ def decode(data: bytes) -> np.ndarray:
         span[:k] = width * unit
         small = np.flatnonzero(span[:k] < _LOW)
         if len(small):
-            code[small] = (code[small] << _HALF) | words[small, at[small]]
+            code[small] = (code[small] << _HALF) | words[small, np.minimum(at[small], words.shape[1] - 1)]
             at[small] += 1
             span[small] <<= _HALF
         x = np.where(symbol == 0, models.id2, models.id1).astype(np.int64)
@@ -241,7 +242,7 @@ def decode(data: bytes) -> np.ndarray:
             kind = symbol[other] - 2
             size = np.maximum(kind - 1, 0) + 8
             now = bit[other]
-            value = (raw[other, now >> 5] >> (now & 31).astype(np.uint64)).astype(np.int64) & ((1 << size) - 1)
+            value = (raw[other, np.minimum(now >> 5, raw.shape[1] - 1)] >> (now & 31).astype(np.uint64)).astype(np.int64) & ((1 << size) - 1)
             x[other] = value + ((kind > 0) << size)
             bit[other] = now + size
         grid[t, :k] = x

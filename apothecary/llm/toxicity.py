@@ -236,7 +236,8 @@ def _fitted(rows: list, chosen: np.ndarray, settings: ToxicitySettings) -> Toxic
 
 
 def scored(df: DataFrame, model: ToxicityModel, text: str = "text", score: str = "score") -> DataFrame:
-    """``df`` with a score of each text in a column ``score``, from 0 to 1."""
+    """``df`` with a score of each text, from 0 to 1, in a column ``score``, in place of one of that name."""
+    df = df.drop(score)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = model.scorer()
         for batch in batches:

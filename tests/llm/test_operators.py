@@ -1,0 +1,501 @@
+"""The operators on small hand-made tables: nulls, empty and long texts, ties, empty tables, other columns."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from apothecary.llm import (
+    bottom_k, bpe, chosen_path, components, html_text, hypervectors, mixing, nn_descent, order, range_coder, repeats, textvec,
+    token_files, toxicity,
+)
+
+RANKS, JSON = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+LABELS = "doc_id long, quality int, toxic int"
+ODD = [None, "", " ", "\n\t ", "a", "a a", "é", "A b C d E f", "x " * 3000, "one two  three\tfour\nfive", "日本語 テキスト"]
+
+
+def docs_of(spark, texts, ids=None, extra=False):
+    ids = range(len(texts)) if ids is None else ids
+    rows = [(i, t, "en", f"s{(i or 0) % 3}" if i != 1 else None, len(t or "")) for i, t in zip(ids, texts)]
+    df = spark.createDataFrame(rows, DOCS)
+    if extra:
+        for name in ("row", "ids", "score", "size", "kept", "key", "tokens", "at", "query", "part"):
+            df = df.withColumn(name, F.lit("other"))
+    return df
+
+
+def prose(rng, n, size=400):
+    return " ".join(f"w{rng.randrange(size)}" for _ in range(n))
+
+
+# -- words and hashes -----------------------------------------------------
+
+
+def test_words_are_those_of_the_rule():
+    words = textvec.Words(pa.array(ODD), lower=True)
+    for i, text in enumerate(ODD):
+        spans = zip(words.start[words.bounds[i]:words.bounds[i + 1]], words.end[words.bounds[i]:words.bounds[i + 1]])
+        assert [bytes(words.data[a:b]).decode() for a, b in spans] == WORD.findall((text or "").lower())
+
+
+def test_equal_runs_of_words_have_equal_hashes():
+    hashes, doc, _ = textvec.Words(pa.array(["a b c d", "x b c d", "a  b\tc", "a b"])).runs(3, short=True)
+    of = [list(hashes[doc == i]) for i in range(4)]
+    assert of[0][1] == of[1][1] and of[0][0] == of[2][0]
+    assert len({*hashes}) == 4 and len(of[3]) == 1
+
+
+# -- 1 toxicity -------------------------------------------------------------
+
+
+def labelled(spark, rng, n=600):
+    bad = ("idiot", "scum", "moron")
+    rows = []
+    for i in range(n):
+        toxic = i % 4 == 0
+        words = prose(rng, 30).split()
+        if i % 3 == 0:
+            words[3] = rng.choice(("women", "men", "muslims", "christians"))
+        if toxic:
+            words[rng.randrange(4, 30)] = rng.choice(bad)
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = docs_of(spark, [t for _, t, _ in rows])
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows] + [(5, 1, None), (None, 1, 1)], LABELS)
+    return docs, labels, {i: y for i, _, y in rows}
+
+
+def test_toxicity_holds_on_documents_held_out(spark):
+    docs, labels, truth = labelled(spark, random.Random(1))
+    rows = toxicity.predictions(docs, labels).collect()
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert r["predicted"] == int(r["score"] >= 0.5) and 0 <= r["score"] <= 1
+    out = [r for r in rows if r["held_out"]]
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in out) >= 0.97 * len(out)
+
+
+def test_naming_a_group_moves_a_score_little(spark):
+    rng = random.Random(2)
+    rows, labels = [], []
+    for i in range(400):
+        toxic = i % 2
+        # One group is named mostly in toxic texts, the insult is what makes them so.
+        group = "women" if toxic and i % 10 else "men"
+        rows.append(f"{prose(rng, 10)} {group} {'idiot' if toxic else 'people'}")
+        labels.append((i, 1, toxic))
+    docs, labels = docs_of(spark, rows), spark.createDataFrame(labels, LABELS)
+    gap = []
+    for penalty in (0.0, 3.0):
+        raw = toxicity.fit(docs, labels, toxicity.ToxicitySettings(swap_penalty=penalty)).scorer()
+        a, b = raw(pa.array(["about women here", "about men here"]))
+        gap.append(abs(a - b))
+    assert gap[1] < 0.3 * gap[0]
+
+
+def test_toxicity_without_labels_and_on_odd_texts(spark):
+    none = toxicity.predictions(docs_of(spark, ODD), spark.createDataFrame([], LABELS)).collect()
+    assert {(r["score"], r["predicted"]) for r in none} == {(0.0, 0)}
+    docs, labels, _ = labelled(spark, random.Random(3), 100)
+    assert toxicity.predictions(docs_of(spark, [], []), labels).count() == 0
+    odd = docs_of(spark, ODD, [None, *range(1, len(ODD))], extra=True)
+    assert toxicity.scored(odd, toxicity.fit(docs, labels)).select("doc_id", "row", "score").count() == len(ODD)
+
+
+def test_identity_terms_are_swapped_whole():
+    to = toxicity.swaps()
+    assert toxicity.swapped("Women, and womenfolk", to) == "men, and womenfolk"
+    assert toxicity.swapped("nothing here", to) is None
+
+
+# -- 2 near copies ----------------------------------------------------------
+
+
+def near_truth(texts, k, percent):
+    sets = {}
+    for i, t in texts.items():
+        w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets[i] = {tuple(w[j:j + k]) for j in range(max(1, len(w) - k + 1))} if w else set()
+    part = {i: i for i in texts}
+    for a in texts:
+        for b in texts:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = part[a], part[b]
+                part = {i: min(x, y) if p in (x, y) else p for i, p in part.items()}
+    return {i: (len(sets[i]), part[i]) for i in texts}
+
+
+def edited(rng, text, edits):
+    words = text.split()
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_near_duplicates_are_those_of_brute_force(spark):
+    rng = random.Random(4)
+    texts = list(ODD)
+    for _ in range(6):
+        base = prose(rng, 120, 5000)
+        texts += [base, base.upper(), *(edited(rng, base, e) for e in (1, 2, 3, 4, 6, 9))]
+    hub = prose(rng, 90, 5000)
+    texts += [edited(rng, hub, 3) for _ in range(90)] + [hub] * 3
+    rng.shuffle(texts)
+    settings = chosen_path.NearSettings(leaf=8, block=16)
+    got = {r["doc_id"]: r for r in chosen_path.near_duplicates(docs_of(spark, texts, extra=True), settings).collect()}
+    for i, (n, part) in near_truth(dict(enumerate(texts)), 3, 85).items():
+        assert (got[i]["n_shingles"], got[i]["component_id"], got[i]["kept"]) == (n, part, part == i)
+
+
+def test_near_duplicates_of_odd_tables(spark):
+    assert chosen_path.near_duplicates(docs_of(spark, [], [])).count() == 0
+    rows = chosen_path.near_duplicates(docs_of(spark, ["a b c d", "a b c d", "a b c d"], [7, 7, None])).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in rows if r["doc_id"]) == [(7, 7, True)] * 2
+    assert [(r["component_id"], r["kept"]) for r in rows if r["doc_id"] is None] == [(None, True)]
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(5, 5)]
+    got = {r["id"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# -- 3 mixing ---------------------------------------------------------------
+
+
+def test_mixing_meets_targets(spark):
+    rng = random.Random(5)
+    texts = [prose(rng, rng.randrange(1, 60)) for _ in range(900)] + ODD
+    docs = docs_of(spark, texts, extra=True)
+    rows = mixing.mixed_sources(docs).collect()
+    assert len(rows) == len(texts)
+    sizes = {i: len(WORD.findall(t or "")) for i, t in enumerate(texts)}
+    total = sum(sizes.values())
+    by_source = {}
+    for r in rows:
+        assert r["size"] == sizes[r["doc_id"]] and r["taken"] in (0, r["size"], 2 * r["size"], 3 * r["size"])
+        by_source.setdefault(r["source"], []).append(r)
+    names = sorted(s for s in by_source if s is not None) + [None]
+    words = {s: sum(r["size"] for r in by_source[s]) for s in names}
+    weights = {s: (1, 2, 3)[i % 3] for i, s in enumerate(names)}
+    capped = set()
+    while True:
+        level = (total - sum(3 * words[s] for s in capped)) / sum(weights[s] for s in names if s not in capped)
+        over = {s for s in names if s not in capped and level * weights[s] > 3 * words[s]}
+        if not over:
+            break
+        capped |= over
+    for s in names:
+        target = 3 * words[s] if s in capped else level * weights[s]
+        assert all(abs(r["target"] - target) < 1e-6 * max(1, target) and r["source_size"] == words[s] for r in by_source[s])
+        assert abs(sum(r["taken"] for r in by_source[s]) - target) <= max(1.5, 0.01 * target)
+    again = mixing.mixed_sources(docs).collect()
+    assert sorted((r["doc_id"], r["taken"]) for r in again) == sorted((r["doc_id"], r["taken"]) for r in rows)
+
+
+def test_mixing_of_odd_tables(spark):
+    assert mixing.mixed_sources(docs_of(spark, [], [])).count() == 0
+    rows = mixing.mixed_sources(docs_of(spark, [None, "", " "])).collect()
+    assert {(r["size"], r["target"], r["taken"]) for r in rows} == {(0, 0.0, 0)}
+    same = docs_of(spark, ["a b"] * 6, [4] * 6)
+    assert sorted(r["taken"] for r in mixing.mixed_sources(same).collect()) == [2] * 6
+
+
+def test_inclusion_follows_the_fraction():
+    # The order of u / (1 - u) over f / (1 - f) is that of u for equal f: a sample of fixed size.
+    u = np.array([0.2, 0.7, 0.5])
+    rank = (u / (1 - u)) / (0.4 / 0.6)
+    assert list(np.argsort(rank)) == [0, 2, 1]
+
+
+def test_running_sum_in_global_order(spark):
+    df = spark.createDataFrame([(i % 3 or None, i, i * i) for i in range(200)], "g int, i long, v long")
+    got = {r["i"]: r["s"] for r in order.running_sum(df, [F.col("i")], "v", "s", ["g"]).collect()}
+    for i in range(200):
+        assert got[i] == sum(j * j for j in range(i) if j % 3 == i % 3)
+
+
+# -- 4 fingerprints ---------------------------------------------------------
+
+
+def shingle_set(text):
+    data = (text or "").encode()
+    starts = [i for i in range(len(data)) if data[i] & 0xC0 != 0x80]
+    k = bottom_k.SHINGLE
+    return {data[i:i + k] for i in starts if i + k <= len(data)} or ({data} if data else set())
+
+
+def test_sketches_estimate_resemblance_containment_and_count():
+    rng = random.Random(6)
+    a = prose(rng, 800)
+    b = a[: len(a) // 2] + prose(rng, 400)
+    x, y = bottom_k.sketches(pa.array([a, b]))
+    s, t = shingle_set(a), shingle_set(b)
+    assert abs(bottom_k.resemblance(x, y) - len(s & t) / len(s | t)) < 0.15
+    assert abs(bottom_k.containment(x, y) - len(s & t) / len(s)) < 0.2
+    assert abs(bottom_k.distinct_shingles(x) / len(s) - 1) < 0.3
+    small = bottom_k.sketches(pa.array(["The quick brown fox", "The quick brown cat"]))
+    s, t = shingle_set("The quick brown fox"), shingle_set("The quick brown cat")
+    assert bottom_k.resemblance(*small) == len(s & t) / len(s | t)
+
+
+def test_sketches_merge(spark):
+    rng = random.Random(7)
+    a, b = prose(rng, 300), prose(rng, 300)
+    one, two = bottom_k.sketches(pa.array([a, b]))
+    df = spark.createDataFrame([(1, a), (1, b), (1, a), (2, None), (None, b)], "k int, text string")
+    got = {r["k"]: r["fingerprint"] for r in bottom_k.merged_by(bottom_k.fingerprinted(df), "k").collect()}
+    assert got[1] == bottom_k.packed(bottom_k.merged(one, two)) and got[2] == ""
+    assert np.array_equal(bottom_k.unpacked(got[1]), bottom_k.merged(one, two))
+
+
+def test_fingerprints_of_edited_texts(spark):
+    rng = random.Random(8)
+    texts = [*ODD, *(prose(rng, rng.randrange(1, 200)) for _ in range(60))]
+    rows = {r["doc_id"]: r for r in bottom_k.comparisons(docs_of(spark, texts, extra=True)).collect()}
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        a, b = text or "", texts[i - 1] or ""
+        half = len(a) // 2
+        changed = a[: len(a) - half] + b[:half]
+        own, new, other = bottom_k.sketches(pa.array([a, changed, b]))
+        r = rows[i]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(a), hashlib.sha256(changed.encode()).hexdigest())
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (bottom_k.packed(own), bottom_k.packed(new))
+        assert (r["near_edited"], r["near_next"]) == (bottom_k.resemblance(own, new), bottom_k.resemblance(own, other))
+
+
+def test_fingerprints_of_odd_tables(spark):
+    assert bottom_k.comparisons(docs_of(spark, [], [])).count() == 0
+    alone = bottom_k.comparisons(docs_of(spark, ["abcd"])).first()
+    assert alone["edited_sha256"] == hashlib.sha256(b"abab").hexdigest()
+    assert bottom_k.comparisons(docs_of(spark, ["a", "b", "b"], [None, None, None])).count() == 3
+    assert bottom_k.comparisons(docs_of(spark, ["a", "b", "b"], [3, 3, None])).count() == 3
+
+
+# -- 5 language -------------------------------------------------------------
+
+
+def test_language_of_documents_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = hypervectors.predictions(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
+
+
+def test_language_of_odd_texts(spark):
+    known = docs_of(spark, ["the cat and the dog"] * 20)
+    odd = docs_of(spark, [None, "", "123 !?", "the cat", "Ünïcode"], extra=True)
+    rows = {r["doc_id"]: r for r in hypervectors.identified(odd, hypervectors.prototypes(known)).collect()}
+    assert [rows[i]["lang_pred"] for i in range(5)] == ["und", "und", "und", "en", "en"]
+    assert rows[3]["score"] > 0.5 and rows[0]["score"] == 0
+    assert {r["lang_pred"] for r in hypervectors.identified(odd, {}).collect()} == {"und"}
+    assert hypervectors.predictions(docs_of(spark, [], [])).count() == 0
+
+
+def test_letters_are_bound_and_bundled():
+    one = hypervectors.bundled(["abc"])[0]
+    vector = hypervectors.letter_vector
+    grams = [" ab", "abc", "bc "]
+    assert np.array_equal(one, sum(np.roll(vector(ord(a)), 2) * np.roll(vector(ord(b)), 1) * vector(ord(c)) for a, b, c in grams))
+    assert np.array_equal(hypervectors.bundled(["x", "abc!!", None])[1], one)
+
+
+# -- 6 byte-level BPE -------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def reference():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def odd_texts():
+    rng = random.Random(9)
+    letters = "ab é\n\t '1.,!s\xa0\x85　\x1cd"
+    return [t or "" for t in ODD] + [
+        "it's 's'll", "<|endoftext|> x", "a" * 700, "é" * 200, " " * 90 + "a", "ab" * 300,
+        *("".join(rng.choice(letters) for _ in range(rng.randint(1, 50))) for _ in range(1500)),
+    ]
+
+
+def test_ids_are_those_of_the_library_and_decode(reference):
+    texts, ranks = odd_texts(), bpe.Ranks(RANKS)
+    for text, packed in zip(texts, bpe.rank_encoder(RANKS, public_tokenizers.PATTERN).encode(texts)):
+        ids = np.frombuffer(packed, "<u4")
+        assert ids.tolist() == reference.encode_ordinary(text)
+        assert ranks.decode(ids).tobytes().decode() == text
+
+
+def test_rows_and_single_trees_merge_alike():
+    rng, ranks = random.Random(10), bpe.Ranks(RANKS)
+    pieces = [bytes(rng.choice(b"theinrg ") for _ in range(rng.randint(2, 60))) for _ in range(300)]
+    assert ranks.encode_rows(pieces, 64) == [ranks.encode_long(p) for p in pieces]
+
+
+def test_digests_of_ids(spark, reference):
+    rows = {r["doc_id"]: r for r in bpe.digest(docs_of(spark, ODD, extra=True), RANKS, public_tokenizers.PATTERN).collect()}
+    for i, text in enumerate(ODD):
+        ids = np.array(reference.encode_ordinary(text or ""), "<u4").tobytes()
+        want = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest())
+        assert (rows[i]["n_tokens"], rows[i]["ids_sha256"], rows[i]["decoded_sha256"]) == want
+    assert bpe.digest(docs_of(spark, [], []), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+# -- 7 pages ----------------------------------------------------------------
+
+PAGES = [
+    ("<html><body><nav><a>m</a></nav><article><h1>T &amp; t</h1><p>Short.<p>A  longer\n paragraph&nbsp;here.</article><footer>f</footer>",
+     "T & t\nShort.\nA longer paragraph here."),
+    ("<div class='menu'>a b c</div><div id=main><h1>T</h1><p>Hello world, a text that goes on.</p><form>f</form></div>"
+     "<div class='comments'><p>nope, a long comment by a reader</p></div>", "T\nHello world, a text that goes on."),
+    ("<article><p>x<script>var a='</p>'</script><style>p{}</style> y</p><aside>no</aside><ul><li>one<li>two</ul></article>", "x y\none\ntwo"),
+    ("", ""), (None, ""), ("<p>", ""), ("plain words", "plain words"), ("<div hidden>no</div><p>yes", "yes"),
+    ("<header>site</header><article><header><h1>Title</h1></header><p>Body of it.</p></article><div class=cookie>c</div>", "Title\nBody of it."),
+]
+
+
+def test_main_text_of_pages(spark):
+    df = spark.createDataFrame([(i, "u", h, "old") for i, (h, _) in enumerate(PAGES)], "page_id long, url string, html string, text string")
+    got = {r["page_id"]: r["text"] for r in html_text.extracted(df).collect()}
+    assert got == {i: t for i, (_, t) in enumerate(PAGES)}
+    assert html_text.extracted(df.limit(0)).count() == 0
+
+
+def test_long_pages():
+    text = html_text.main_text("<nav>x</nav><main>" + "<p>words of a page</p>" * 5000 + "</main>")
+    assert text.count("\n") == 4999
+
+
+# -- 8 repeated passages ----------------------------------------------------
+
+
+def removed(texts):
+    words = {i: WORD.findall(t or "") for i, t in texts.items()}
+    seen, cover = set(), {i: set() for i in texts}
+    for i in sorted(texts):
+        for s in range(len(words[i]) - repeats.WINDOW + 1):
+            window = tuple(words[i][s:s + repeats.WINDOW])
+            if window in seen:
+                cover[i].update(range(s, s + repeats.WINDOW))
+            seen.add(window)
+    return {i: (len(words[i]), len(cover[i]), " ".join(w for j, w in enumerate(words[i]) if j not in cover[i])) for i in texts}
+
+
+def test_repeated_passages_are_those_of_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SHARD_WINDOWS", 200)
+    monkeypatch.setattr(repeats, "STREAM_WORDS", 300)
+    monkeypatch.setattr(repeats, "PIECE_WINDOWS", 16)
+    rng = random.Random(11)
+    common, texts = prose(rng, 60, 5000), list(ODD)
+    for i in range(120):
+        own = prose(rng, rng.randrange(5, 120), 5000).split()
+        if i % 3 == 0:
+            at, a = rng.randrange(len(own)), rng.randrange(40)
+            own[at:at] = common.split()[a:a + rng.randrange(15, 60)]
+        if i % 20 == 0:
+            own = own + own
+        texts.append(" ".join(own))
+    texts += texts[15:40] + [prose(rng, 3, 3) + " a b" * 80]
+    got = {r["doc_id"]: r for r in repeats.without_repeats(docs_of(spark, texts, extra=True)).collect()}
+    for i, want in removed(dict(enumerate(texts))).items():
+        assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept"]) == want
+
+
+def test_repeated_passages_of_odd_tables(spark):
+    assert repeats.without_repeats(docs_of(spark, [], [])).count() == 0
+    text = prose(random.Random(12), 30, 5000)
+    twins = repeats.without_repeats(docs_of(spark, [text, text, text], [1, 1, None])).collect()
+    assert sorted((r["doc_id"] or 99, r["n_removed"]) for r in twins) == [(1, 0), (1, 0), (99, 30)]
+
+
+# -- 9 token files ----------------------------------------------------------
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_range_coder_round_trip(block):
+    rng = np.random.default_rng(13)
+    for ids in ([], [5], [0] * 10, [65535] * 3000, rng.integers(0, 50257, 2049), rng.integers(0, 3, 5000), np.tile(rng.integers(0, 50257, 90), 60)):
+        ids = np.array(ids, np.uint32)
+        assert np.array_equal(range_coder.decode(range_coder.encode(ids, block)), ids)
+
+
+def test_range_coder_learns_and_notices_damage():
+    rng = np.random.default_rng(14)
+    ids = np.tile(rng.integers(0, 50257, 50).astype(np.uint32), 200)
+    data = range_coder.encode(ids)
+    assert len(data) < len(ids)
+    with pytest.raises(ValueError):
+        range_coder.decode(data[:-40] + bytes(b ^ 255 for b in data[-40:]))
+    with pytest.raises(ValueError):
+        range_coder.encode(np.array([1 << 16]))
+
+
+def test_library_words_are_encoded_as_whole_texts():
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.encode_special_tokens = True
+    texts = odd_texts()
+    for text, packed in zip(texts, bpe.Words(token_files.Library(JSON).encode).encode(texts)):
+        assert np.frombuffer(packed, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_token_files(spark, monkeypatch):
+    tokenizer = Tokenizer.from_file(JSON)
+    rng = random.Random(15)
+    texts = [*ODD, *(prose(rng, rng.randrange(0, 50)) for _ in range(50))]
+    rows = {r["doc_id"]: r for r in token_files.read(token_files.write(docs_of(spark, texts, extra=True), JSON)).collect()}
+    at = 0
+    for i, text in enumerate(texts):
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [token_files.END], "<u4")
+        assert (rows[i]["start"], rows[i]["n_tokens"], rows[i]["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert token_files.read(token_files.write(docs_of(spark, [], []), JSON)).count() == 0
+    odd = token_files.read(token_files.write(docs_of(spark, ["a", None, "b"], [4, 4, None]), JSON)).collect()
+    assert sorted(r["start"] for r in odd) == [0, 1, 3]
+
+
+# -- 10 nearest neighbours --------------------------------------------------
+
+
+def test_nearest_neighbours_by_brute_force(spark):
+    rng = np.random.default_rng(16)
+    x = rng.standard_normal((1500, 16)).astype(np.float32) * rng.uniform(0.5, 2, (1500, 1)).astype(np.float32)
+    x[100:160] = x[7]
+    rows = [(i, v.tolist(), "o") for i, v in enumerate(x)]
+    bad = [(9001, None, "o"), (9002, [0.0] * 16, "o"), (9003, [float("nan")] * 16, "o"), (9004, [1.0, None] * 8, "o"), (9005, [1.0], "o"), (None, [1.0] * 16, "o"), (9006, [], "o")]
+    df = spark.createDataFrame(rows + bad + rows[:3], "vec_id long, embedding array<float>, query string")
+    got = nn_descent.nearest(df, asks=F.col("id") % 20 == 0).collect()
+    by_query = {}
+    for r in got:
+        by_query.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(by_query) == {i for i in range(1500) if i % 20 == 0}
+    hits = 0
+    wide = x.astype(float)
+    for q, found in by_query.items():
+        found.sort()
+        scores = wide @ wide[q]
+        scores[q] = -np.inf
+        true = np.lexsort((np.arange(1500), -scores))[:20]
+        assert [f[0] for f in found] == list(range(1, 21))
+        assert all(abs(f[2] - scores[f[1]]) < 1e-9 for f in found)
+        hits += len({f[1] for f in found} & {*true.tolist()})
+    assert hits >= 0.9 * 20 * len(by_query)
+
+
+def test_nearest_neighbours_of_small_tables(spark):
+    kinds = "vec_id long, embedding array<float>"
+    assert nn_descent.nearest(spark.createDataFrame([], kinds)).count() == 0
+    assert nn_descent.nearest(spark.createDataFrame([(0, [1.0, 0.0])], kinds)).count() == 0
+    rows = nn_descent.nearest(spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0])], kinds)).collect()
+    assert [r["vec_id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == 1] == [0, 3, 2]
