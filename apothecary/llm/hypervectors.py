@@ -29,6 +29,7 @@ from apothecary.llm.textvec import sliced
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
+BUNDLE_TASKS = 16
 _DENSE = 1 << 22
 _CODE = np.uint64(21)
 _MASK = np.uint64((1 << 21) - 1)
@@ -156,7 +157,8 @@ def prototypes(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
     """
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     counts = known.mapInArrow(_counts_by_language, "lang string, trigram long, n long").groupBy("lang", "trigram").agg(F.sum("n").alias("n"))
-    bundles = stored(counts.mapInArrow(_partial_bundles, "lang string, vector array<double>"), "bundles")
+    # As many rows as trigrams occur in languages: few tasks bundle them, each to one vector a language.
+    bundles = stored(counts.coalesce(BUNDLE_TASKS).mapInArrow(_partial_bundles, "lang string, vector array<double>"), "bundles")
     sums = (
         bundles.select("lang", F.posexplode("vector").alias("at", "x"))
         .groupBy("lang", "at").agg(F.sum("x").alias("x"))
@@ -166,7 +168,8 @@ def prototypes(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
 
 
 def identified(df: DataFrame, known: dict[str, np.ndarray], text: str = "text") -> DataFrame:
-    """``df`` with columns ``lang_pred`` and ``score``."""
+    """``df`` with columns ``lang_pred`` and ``score``, in place of any of these names."""
+    df = df.drop("lang_pred", "score")
     names = sorted(known)
     matrix = np.array([known[k] / max(np.linalg.norm(known[k]), 1e-300) for k in names], np.float32)
 
