@@ -17,10 +17,21 @@ from apothecary.llm.shared import documents, stored
 NEAR = chosen_path.NearSettings(words=5, percent=80)
 
 
+def _folded(docs: DataFrame, *used: str) -> DataFrame:
+    """The used columns, and all others in one, where their names meet no operator's."""
+    rest = [c for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(F.lit(0).alias("_none"), *rest).alias("_rest"))
+
+
+def _unfolded(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*(F.col(c if c in rows.columns and c not in rows.schema["_rest"].dataType.names else f"_rest.`{c}`").alias(c) for c in docs.columns))
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.5."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.scored(docs, model, score="toxicity").where("toxicity < 0.5").select(*docs.columns)
+    scored = toxicity.scored(_folded(docs, "text"), model)
+    return _unfolded(scored.where("score < 0.5"), docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,15 +46,17 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     A text that loses words has the rest joined by one space, and ``n_chars`` follows.
     """
     cut = F.col("n_removed") > 0
-    rows = repeats.without_repeats(docs).withColumn("text", F.when(cut, F.col("kept")).otherwise(F.col("text")))
-    return rows.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    rows = repeats.without_repeats(_folded(docs, "doc_id", "text", "n_chars"))
+    rows = rows.withColumn("text", F.when(cut, F.col("kept")).otherwise(F.col("text")))
+    return _unfolded(rows.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))), docs)
 
 
 def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    numbered = stored(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    folded = _folded(docs, "doc_id", "source", "text")
+    numbered = stored(folded.withColumn("row", F.monotonically_increasing_id()), "numbered")
     taken = mixing.mixed_sources(numbered, "row").where("copies > 0").select("row", F.sequence(F.lit(1), "copies").alias("copies"))
-    return numbered.join(taken, "row").withColumn("copy", F.explode("copies")).select(*docs.columns)
+    return _unfolded(numbered.join(taken, "row").withColumn("copy", F.explode("copies")), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
