@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +25,8 @@ def thousands(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """``columns`` as text with thousands separators, under new names.
 
     Whole numbers have no decimals. Amounts have as many, up to two, as any row
-    of the column needs, so the frame must be a display table: it is looked at
-    as a whole.
+    of the column needs.
     """
-    whole = Window.partitionBy(F.lit(0))
     out: list[Column] = []
     for f in df.schema.fields:
         if f.name not in columns:
@@ -39,7 +37,8 @@ def thousands(df: DataFrame, columns: dict[str, str]) -> DataFrame:
             text = F.format_number(x, 0)
         else:
             amount = x.cast("decimal(28,2)")
-            shown = F.max(decimals_shown(amount)).over(whole)
+            # An aggregate of its own, as a scalar subquery: no task sees all rows.
+            shown = df.agg(F.max(decimals_shown(amount))).scalar()
             value = amount.cast("double")
             text = (
                 F.when(shown == 0, F.format_number(value, 0))

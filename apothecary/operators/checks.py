@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -51,11 +51,12 @@ def control_limits(
     df: DataFrame, series: Sequence[str], value: str, width: float = 3.0
 ) -> DataFrame:
     """Mean, limits and outlier flag per row of each series."""
-    whole = Window.partitionBy(*series)
     x = F.col(value).cast("double")
-    out = df.withColumns(
-        {"mean": F.avg(x).over(whole), "deviation": F.stddev_samp(x).over(whole)}
+    limits = df.groupBy(*[F.col(k).alias(k + "_l") for k in series]).agg(
+        F.avg(x).alias("mean"), F.stddev_samp(x).alias("deviation")
     )
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(limits[k + "_l"]) for k in series])
+    out = df.join(limits, same).drop(*[k + "_l" for k in series])
     return out.withColumns(
         {
             "lower_limit": F.col("mean") - width * F.col("deviation"),

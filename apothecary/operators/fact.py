@@ -102,18 +102,15 @@ def contractor_fact(
     contractors: DataFrame,
     period: tuple[str, ...],
     params: ReportParams,
-    keep: Column | None = None,
 ) -> DataFrame:
     """Activity per period with contractor attributes, band and owner type.
 
-    ``keep`` drops rows before owners are counted. Attributes and owner types
+    A contractor counts in every period it has claims in. Attributes and owner types
     are settled on narrow rows, without the sixty sums. The sums then meet them
     on contractor and period, the keys by which they were added up, so that
     year sums are not shuffled again.
     """
     held = activity.select("CONTRACTOR_ID", *period).join(contractors, "CONTRACTOR_ID")
-    if keep is not None:
-        held = held.where(keep)
     held = with_owner_type(held, period, params).select(
         "CONTRACTOR_ID", *period, *ATTRIBUTES, "CONTRACTOR_TYPE"
     )
@@ -136,26 +133,37 @@ def attributes_at_year_end(history: DataFrame, years: DataFrame, attribute: str)
     """The attribute each contractor held on 31 March of every year in ``years``.
 
     ``history`` has CONTRACTOR_ID, EFFECTIVE_DATE, SEQUENCE (order within a day)
-    and the attribute; ``years`` has CONTRACTOR_ID and FINANCIAL_YEAR. The last
-    change inside each financial year is found first, with partial results
-    before the shuffle. Only those rows, at most one per contractor and year,
-    reach the window that carries a state into years without a change.
+    and the attribute; ``years`` has CONTRACTOR_ID and FINANCIAL_YEAR. The last day
+    of change inside each financial year is found first: a date, which a hash
+    aggregate holds, with partial results before the shuffle. Only the changes of
+    those days are put in order, and only their last, at most one per contractor
+    and year, reach the window that carries a state into years without a change.
     """
-    state = F.struct(F.col(attribute).alias("value"))
-    changes = history.select(
+    start = financial_year_start(F.col("EFFECTIVE_DATE"))
+    changes = history.where(F.col("EFFECTIVE_DATE").isNotNull()).withColumn("START", start)
+    days = changes.groupBy("CONTRACTOR_ID", "START").agg(
+        F.max("EFFECTIVE_DATE").alias("EFFECTIVE_DATE")
+    )
+    last = changes.join(days, ["CONTRACTOR_ID", "START", "EFFECTIVE_DATE"])
+    state = F.struct("SEQUENCE", F.struct(F.col(attribute).alias("value")).alias("state"))
+    states = last.groupBy("CONTRACTOR_ID", "START").agg(
+        F.array_max(F.collect_list(state))["state"].alias("state")
+    )
+    states = states.select(
         "CONTRACTOR_ID",
-        financial_year_label(financial_year_start(F.col("EFFECTIVE_DATE"))).alias(
-            "FINANCIAL_YEAR"
-        ),
-        state.alias("state"),
-        F.struct("EFFECTIVE_DATE", "SEQUENCE").alias("changed"),
+        financial_year_label(F.col("START")).alias("FINANCIAL_YEAR"),
+        "state",
         F.lit(False).alias("asked"),
     )
     asked = years.select("CONTRACTOR_ID", "FINANCIAL_YEAR", F.lit(True).alias("asked"))
+    # A contractor's states and years, a few rows each, meet in one window.
     per_year = (
-        changes.unionByName(asked, allowMissingColumns=True)
+        states.unionByName(asked, allowMissingColumns=True)
         .groupBy("CONTRACTOR_ID", "FINANCIAL_YEAR")
-        .agg(F.max_by("state", "changed").alias("state"), F.bool_or("asked").alias("asked"))
+        .agg(
+            F.array_max(F.collect_list("state")).alias("state"),
+            F.bool_or("asked").alias("asked"),
+        )
     )
     so_far = (
         Window.partitionBy("CONTRACTOR_ID")

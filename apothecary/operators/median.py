@@ -7,24 +7,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Buckets into which the values between the sketch's bounds are counted.
+BUCKETS = 1024
+
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], suffix: str) -> Column:
     pairs = [left[k].eqNullSafe(right[k + suffix]) for k in keys]
     return reduce(lambda a, b: a & b, pairs)
 
 
-# Groups up to which the bracket is broadcast: some ten megabytes of rows.
-BROADCAST_GROUPS = 100_000
-
+def _renamed(df: DataFrame, keys: list[str], suffix: str, *others: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(k + suffix) for k in keys], *others)
 
-def _broadcast_if_small(bracket: DataFrame) -> DataFrame:
-    """The bracket, kept and counted; broadcast when it is known to be small.
 
-    Otherwise Spark would have to shuffle all rows by group before it learns
-    how few groups there are. With many groups that shuffle is the right plan.
-    """
-    kept = bracket.persist()
-    return F.broadcast(kept) if kept.count() <= BROADCAST_GROUPS else kept
+def _bucket() -> Column:
+    """The bucket of x between low and high; one more on either side for the rest."""
+    x, low, high = (F.col(c).cast("double") for c in ("x", "low", "high"))
+    inside = F.floor((x - low) / (high - low) * BUCKETS)
+    return (
+        F.when(x < low, -1)
+        .when(x > high, BUCKETS)
+        .when(high == low, 0)
+        .otherwise(F.least(inside, F.lit(BUCKETS - 1)))
+        .cast("int")
+    )
 
 
 def exact_median(
@@ -33,43 +39,52 @@ def exact_median(
     """Median of ``value`` by ``keys``, NULL skipped, middle pair averaged.
 
     Spark's ``median`` keeps every distinct value of a group in one task's
-    memory. Here a quantile sketch of fixed size first gives two values that
-    enclose the middle of each group. Rows below the bracket are only counted,
-    rows inside are counted per distinct value, and the running count over the
-    inside values (about 10 / ``accuracy`` of the group) gives the middle one.
-    A bracket that missed the middle would be an error, never a wrong result.
+    memory. Here a quantile sketch of fixed size first gives two values around
+    the middle of each group. All values are then counted in buckets, a fixed
+    number between the two and one on either side, by partial sums. The bucket
+    the middle falls in holds about ten millionths of the group; its distinct
+    values are counted likewise and the running count over them gives the
+    middle. A sketch that missed only makes that bucket larger.
+
+    Nothing runs until the result is asked for, and nothing is kept.
     """
     present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("x"))
     slack = 4.0 / accuracy
-    bracket = present.groupBy(*keys).agg(
+    sketch = present.groupBy(*keys).agg(
         F.percentile_approx("x", [0.5 - slack, 0.5 + slack], accuracy).alias("b"),
         F.count(F.lit(1)).alias("n"),
-    ).select(
-        *[F.col(k).alias(k + "_b") for k in keys],
-        F.col("b")[0].alias("low"),
-        F.col("b")[1].alias("high"),
-        "n",
     )
-    bracket = _broadcast_if_small(bracket)
-    points = (
-        present.join(bracket, _same_keys(present, bracket, keys, "_b"))
-        .where(F.col("x") <= F.col("high"))
-        .groupBy(*keys, F.when(F.col("x") >= F.col("low"), F.col("x")).alias("point"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"))
+    sketch = sketch.select(*keys, F.col("b")[0].alias("low"), F.col("b")[1].alias("high"), "n")
+    bounds = _renamed(sketch, keys, "_s", "low", "high", "n")
+    placed = present.join(bounds, _same_keys(present, bounds, keys, "_s"))
+    counts = (
+        placed.groupBy(*keys, _bucket().alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("rows"), *[F.first(c).alias(c) for c in ("n", "low", "high")])
     )
-    order = Window.partitionBy(*keys).orderBy(F.col("point").asc_nulls_first())
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lower, upper = F.expr("(n + 1) div 2"), F.expr("(n + 2) div 2")
-    ranked = points.withColumn("upto", F.sum("rows").over(upto))
-    found = ranked.groupBy(*keys).agg(
-        F.min(F.when(F.col("upto") >= lower, F.col("point"))).alias("a"),
-        F.min(F.when(F.col("upto") >= upper, F.col("point"))).alias("b"),
-        F.bool_or(F.col("point").isNull() & (F.col("upto") >= lower)).alias("too_high"),
+    # At most BUCKETS + 2 rows a group.
+    ranked = counts.withColumn("upto", F.sum("rows").over(_running(keys, "bucket")))
+    middle = ranked.groupBy(*keys).agg(
+        F.min(F.when(F.col("upto") >= lower, F.col("bucket"))).alias("first_bucket"),
+        F.min(F.when(F.col("upto") >= upper, F.col("bucket"))).alias("last_bucket"),
+        F.min(F.when(F.col("upto") >= lower, F.col("upto") - F.col("rows"))).alias("before"),
+        *[F.first(c).alias(c) for c in ("n", "low", "high")],
+    )
+    middle = _renamed(middle, keys, "_m", "first_bucket", "last_bucket", "before", "n", "low", "high")
+    points = (
+        present.join(middle, _same_keys(present, middle, keys, "_m"))
+        .where(_bucket().between(F.col("first_bucket"), F.col("last_bucket")))
+        .groupBy(*keys, "x")
+        .agg(F.count(F.lit(1)).alias("rows"), F.first("before").alias("before"), F.first("n").alias("n"))
     )
-    missed = F.col("too_high") | F.col("a").isNull() | F.col("b").isNull()
-    return found.select(
-        *keys,
-        F.when(missed, F.raise_error(F.lit("median bracket missed the middle")).cast("double"))
-        .otherwise((F.col("a") + F.col("b")) / 2)
-        .alias(name),
+    upto = F.col("before") + F.sum("rows").over(_running(keys, "x"))
+    found = points.withColumn("upto", upto).groupBy(*keys).agg(
+        F.min(F.when(F.col("upto") >= lower, F.col("x"))).alias("a"),
+        F.min(F.when(F.col("upto") >= upper, F.col("x"))).alias("b"),
     )
+    return found.select(*keys, ((F.col("a") + F.col("b")) / 2).alias(name))
+
+
+def _running(keys: list[str], order: str):
+    rows = Window.partitionBy(*keys).orderBy(order)
+    return rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -32,15 +32,13 @@ def complete(
 ) -> DataFrame:
     """A row for every observed item within every observed group.
 
-    The items are a report vocabulary. They travel as one array, a scalar
-    subquery, and are exploded beside each group; then the rows present are
-    joined on. NULL is an item, and a group, like any other.
+    Every item beside every group is what is asked for: distinct items are
+    joined to distinct groups, then the rows present are joined on. NULL is an
+    item, and a group, like any other.
     """
-    items = df.agg(F.sort_array(F.collect_set(F.struct(item)))).scalar()
+    items = df.select(F.col(item).alias("wanted")).distinct()
     groups = df.select(*[F.col(k).alias(k + "_g") for k in within]).distinct()
-    pairs = groups.select("*", F.explode(items).alias("wanted")).withColumn(
-        "wanted", F.col(f"wanted.{item}")
-    )
+    pairs = groups.crossJoin(items)
     same = reduce(
         lambda a, b: a & b,
         [F.col(k).eqNullSafe(F.col(k + "_g")) for k in within],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,15 +52,23 @@ def lowest_so_far(x: Column, keys: Sequence[str], order: str) -> Column:
     return x == F.min(x).over(_so_far(keys, order))
 
 
-def highest_since(x: str, keys: Sequence[str], order: str) -> Column:
-    """The last earlier period with a value as high; NULL when there is none.
+def highest_since(
+    df: DataFrame, x: str, keys: Sequence[str], order: str, name: str
+) -> DataFrame:
+    """The last earlier period with a value as high, as ``name``; NULL when there is none.
 
-    The earlier periods of a series are few and travel in one array.
+    Rows of a series are joined with its earlier, higher ones, and the latest of
+    these is an aggregate; no row carries the rows before it.
     """
-    before = _series(keys, order).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.collect_list(F.struct(F.col(order).alias("at"), F.col(x).alias("x"))).over(before)
-    as_high = F.filter(earlier, lambda e: e["x"] >= F.col(x))
-    return F.try_element_at(as_high, F.lit(-1))["at"]
+    earlier = df.select(
+        *[F.col(k).alias(k + "_e") for k in keys],
+        F.col(order).alias("_at"),
+        F.col(x).alias("_x"),
+    )
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(earlier[k + "_e"]) for k in keys])
+    higher = same & (earlier["_at"] < df[order]) & (earlier["_x"] >= df[x])
+    found = df.join(earlier, higher, "left").groupBy(*df.columns)
+    return found.agg(F.max("_at").alias(name))
 
 
 def rank_from_highest(x: Column, keys: Sequence[str]) -> Column:

@@ -49,12 +49,11 @@ def with_total_rows(parts: DataFrame, value: str) -> DataFrame:
 
 
 def table_20(history: DataFrame, current: DataFrame) -> DataFrame:
-    """All decisions of all years. The rows, a few per year and locality, are
-    kept while they are looked at for items, for groups and for values."""
-    rows = (
-        fill_numeric(history.select(*KEYS, "total_decisions"))
-        .unionByName(digest_current(current))
-        .persist()
+    """All decisions of all years. History comes as published, a few rows per year
+    and locality; the current decisions are added up before they are looked at for
+    items, for groups and for values. Nothing is kept."""
+    rows = fill_numeric(history.select(*KEYS, "total_decisions")).unionByName(
+        digest_current(current)
     )
     return (
         complete(rows, "application_decision", ["financial_year", "locality"], "total_decisions")

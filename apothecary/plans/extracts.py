@@ -16,6 +16,7 @@ from apothecary.schemas import CLASS, GEOGRAPHY, MONEY_TOTAL_TYPE
 NATIONAL = ("FINANCIAL_YEAR", CLASS)
 MONTHLY = ("YEAR_MONTH", CLASS)
 SUB_NATIONAL = ("FINANCIAL_YEAR", CLASS, *GEOGRAPHY)
+GRAINS = ("national", "sub_national")
 
 
 def extract(
@@ -78,8 +79,9 @@ def both_grains(fact: DataFrame, params: ReportParams) -> DataFrame:
     """National and sub-national measures from one pass over the fact.
 
     Sums of the sub-national rows are the national sums, so the grouping sets
-    expand the few aggregated rows and not the fact. The median is no such sum
-    and comes from the fact at each grain.
+    expand the few aggregated rows and not the fact. The median is no such sum:
+    it reads the fact's keys and its one column three more times, for both
+    grains together, with a row for each grain.
     """
     names = [m.name for m in MEASURES if m != MEDIAN]
     money = {m.name for m in MEASURES if m.is_money}
@@ -91,24 +93,26 @@ def both_grains(fact: DataFrame, params: ReportParams) -> DataFrame:
     ]
     sets = [[sub[k] for k in keys], [sub[k] for k in nation]]
     grouped = sub.groupingSets(sets, *[sub[k] for k in keys]).agg(
-        F.when(F.grouping("icb_code") == 1, "national").otherwise("sub_national").alias("grain"),
+        F.when(F.grouping("icb_code") == 1, GRAINS[0]).otherwise(GRAINS[1]).alias("grain"),
         *sums,
     )
 
-    def medians(at: tuple[str, ...], grain: str) -> DataFrame:
-        found = exact_median(
-            fact, list(at), MEDIAN.source, MEDIAN.name, params.median_bracket_accuracy
-        )
-        return found.select(
-            F.lit(grain).alias("grain_m"),
-            *[
-                (F.col(k) if k in at else F.lit(None).cast("string")).alias(k.lower() + "_m")
-                for k in SUB_NATIONAL
-            ],
-            MEDIAN.name,
-        )
-
-    both = medians(SUB_NATIONAL, "sub_national").unionByName(medians(NATIONAL, "national"))
+    by_grain = fact.select(
+        *SUB_NATIONAL, MEDIAN.source, F.explode(F.array(*map(F.lit, GRAINS))).alias("grain_m")
+    )
+    at_both = by_grain.select(
+        "grain_m",
+        *[
+            (F.col(k) if k in NATIONAL else F.when(F.col("grain_m") == GRAINS[1], F.col(k))).alias(
+                k.lower() + "_m"
+            )
+            for k in SUB_NATIONAL
+        ],
+        MEDIAN.source,
+    )
+    both = exact_median(
+        at_both, at_both.columns[:-1], MEDIAN.source, MEDIAN.name, params.median_bracket_accuracy
+    )
     same = grouped["grain"] == both["grain_m"]
     for k in keys:
         same = same & grouped[k].eqNullSafe(both[k + "_m"])

@@ -60,8 +60,8 @@ FIELDS = (
     ("Integrated Care Board Code", "Code of the local board a contractor belongs to."),
     ("Item", "One product on one prescription form."),
     ("MUR", "Review of a patient's use of several medicines; since discontinued."),
-    ("Region Name", "Name of the region a contractor belongs to."),
-    ("Region Code", "Code of the region a contractor belongs to."),
+    ("NHS England Region Name", "Name of the region a contractor belongs to."),
+    ("NHS England Region Code", "Code of the region a contractor belongs to."),
     ("NMS", "Support for patients who start a new medicine."),
     ("PCS", "Supply of oral contraception by pharmacies."),
     ("Pharmacy First", "Advice and treatment for seven common conditions."),
@@ -101,11 +101,15 @@ class Publication:
     def extracts(self) -> Kept:
         """Full extracts, computed once and kept for all tables and figures.
 
-        The year fact is read once for both of its grains. What is kept is a
-        row per period, class and area, however large the facts.
+        The year fact's sums are read once for both of its grains, its median's
+        column three times more. What is kept is a row per period, class and
+        area, however large the facts.
         """
         both = both_grains(self.year_fact, self.params).persist()
         months = extract(self.month_fact, MONTHLY, self.params).persist()
+        # Computed before several threads read them, so that none computes them again.
+        for kept in (both, months):
+            kept.write.format("noop").mode("overwrite").save()
         national = both.where("grain = 'national'").drop(
             "grain", *[k.lower() for k in GEOGRAPHY]
         )

@@ -64,12 +64,11 @@ ACTIVITY = T.StructType(
     + [T.StructField(n, T.LongType()) for n in MONEY]
 )
 
-# Contractors with the attributes they hold, and the years they traded in.
+# Contractors with the attributes they hold.
 CONTRACTORS = T.StructType(
     [T.StructField("CONTRACTOR_ID", T.LongType(), False)]
     + _text("OWNER_ID", CLASS, *GEOGRAPHY, "DIST_SELLING_DISPENSER_HIST",
             "LPS_DISPENSER_HIST", "START_DATE_HIST", "CLOSE_DATE_HIST")
-    + [T.StructField("FIRST_YEAR", T.IntegerType()), T.StructField("LAST_YEAR", T.IntegerType())]
 )
 
 FLU = T.StructType(

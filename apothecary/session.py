@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from threading import RLock as Lock
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from apothecary.sources.warehouse import read_fact
 
-_own_folder: dict[str, str] = {}
 _written: dict[tuple[str, ...], str] = {}
+_writing = Lock()
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Runtime settings the queries rely on; cluster sizing is left alone.
+    """Runtime settings the queries rely on, set in the caller's session; cluster
+    sizing is left alone. Dates of claims are read in UTC, and skewed joins are
+    left to adaptive execution, so these two are set whatever they were.
 
     Fact rows carry more than sixty summed columns. Generated methods above
     8000 bytecodes are never compiled by the JVM, so such stages run faster in
@@ -31,23 +34,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else the warehouse.
 
-    Only a local session may do without: it gets a folder of its own, since
-    driver and executors are then the same machine.
+    Both are places the driver and all executors see.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", "") or context.getConf().get(
-        "spark.checkpoint.dir"
+    named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", ""
     )
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = context.applicationId
-    if app not in _own_folder:
-        _own_folder[app] = tempfile.mkdtemp(prefix="apothecary-")
-    return _own_folder[app]
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
@@ -55,6 +49,19 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/apothecary/{spark.sparkContext.applicationId}/{name}"
 
 
+def input_version(spark: SparkSession, folder: str, tables: Sequence[str]) -> str:
+    """Sizes and times of the files of some tables: other text once any of them changes."""
+    context = spark.sparkContext
+    found = []
+    for table in tables:
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}.parquet")
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        if files.exists(path):
+            for s in files.listStatus(path):
+                found.append(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}")
+    return ",".join(sorted(found))
+
+
 def written_once(
     spark: SparkSession,
     name: str,
@@ -63,16 +70,29 @@ def written_once(
     schema: T.StructType,
     partition: str | None = None,
     settings: object = None,
+    version: str = "",
 ) -> DataFrame:
-    """``build()`` written as a table, once per application and settings.
+    """``build()`` written as a table, once per application, settings and input version.
 
-    The rebalance hint lets adaptive execution size the files: a year with
-    many rows is split over several, small ones are not shredded.
+    The rebalance hint lets adaptive execution size the files: a year with many rows
+    is split over several, small ones are not shredded. Two threads that ask for the
+    same table wait for one to write it; each table has a path of its own.
     """
-    key = (spark.sparkContext.applicationId, source, name, repr(settings))
-    if key not in _written:
-        path = f"{run_folder(spark, 'facts')}/{len(_written):03d}_{name}"
-        by = [partition] if partition else []
-        build().hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
-        _written[key] = path
+    key = (spark.sparkContext.applicationId, source, name, repr(settings), version)
+    with _writing:
+        if key not in _written:
+            path = f"{run_folder(spark, 'facts')}/{name}-{uuid4().hex}"
+            by = [partition] if partition else []
+            build().hint("rebalance", *by).write.partitionBy(*by).parquet(path)
+            _written[key] = path
     return read_fact(spark, _written[key], schema)
+
+
+def forget_written(spark: SparkSession) -> None:
+    """Delete the tables that this application wrote; nothing may read them any more."""
+    application = spark.sparkContext.applicationId
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark, "facts"))
+    with _writing:
+        for key in [k for k in _written if k[0] == application]:
+            del _written[key]
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

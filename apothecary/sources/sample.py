@@ -26,10 +26,9 @@ from apothecary.schemas import (
     YEAR_FACT,
     require,
 )
-from apothecary.session import configure, written_once
-
-SERVICES_FROM = 1996
+from apothecary.session import configure, input_version, written_once
 
+FACT_TABLES = ("lineitem", "supplier", "nation", "region")
 SAMPLE_PARAMS = ReportParams(
     latest_year="2001/2002",
     pandemic_excluded_years=(
@@ -57,6 +56,10 @@ class Sample:
 
     # -- claims and contractors ------------------------------------------
 
+    def _version(self) -> str:
+        """Names the input that the written facts stem from."""
+        return input_version(self.spark, self.folder, FACT_TABLES)
+
     def claims(self) -> DataFrame:
         """One row per claim line, with what it adds to every fact column.
 
@@ -69,12 +72,8 @@ class Sample:
             "l_linenumber AS line",
             "cast(l_quantity AS bigint) AS quantity",
             "cast(cast(l_extendedprice AS decimal(18,2)) * 100 AS bigint) AS pence",
-            f"year(add_months(to_date(l_shipdate), -3)) >= {SERVICES_FROM} AS offered",
         )
 
-        def since(k: int, value: str) -> str:
-            return f"CASE WHEN offered THEN {value} END" if k % 3 == 0 else value
-
         def hit(k: int) -> str:
             return f"(part + {k} * line) % {k + 5} = 0"
 
@@ -83,12 +82,12 @@ class Sample:
             "CLAIM_DATE",
             "quantity * (1 + (CONTRACTOR_ID * 7) % 97) AS ITEMS",
             *[
-                since(k, f"cast({hit(k)} AS bigint)") + f" AS {name}"
+                f"cast({hit(k)} AS bigint) AS {name}"
                 for k, name in enumerate(VOLUMES[1:], start=2)
             ],
             "pence AS NIC",
             *[
-                since(k, f"CASE WHEN {hit(k)} THEN pence END") + f" AS {name}"
+                f"CASE WHEN {hit(k)} THEN pence END AS {name}"
                 for k, name in enumerate(MONEY[1:], start=2)
             ],
         )
@@ -96,7 +95,8 @@ class Sample:
     def contractors(self) -> DataFrame:
         """Contractors with attributes, written once so that their size is known."""
         return written_once(
-            self.spark, "contractors", self.folder, self._contractors, CONTRACTORS
+            self.spark, "contractors", self.folder, self._contractors, CONTRACTORS,
+            version=self._version(),
         )
 
     def _contractors(self) -> DataFrame:
@@ -126,8 +126,6 @@ class Sample:
                 F.coalesce(F.date_format(closed, "dd/MM/yyyy"), F.lit("31/12/9999")).alias(
                     "CLOSE_DATE_HIST"
                 ),
-                financial_year_start(opened).alias("FIRST_YEAR"),
-                F.coalesce(financial_year_start(closed), F.lit(9999)).alias("LAST_YEAR"),
             )
         )
 
@@ -142,12 +140,11 @@ class Sample:
             lambda: fact.contractor_months(self.claims()),
             ACTIVITY,
             "FINANCIAL_YEAR",
+            version=self._version(),
         )
 
     def _fact(self, activity: DataFrame, period: tuple[str, ...]) -> DataFrame:
-        year = F.substring("FINANCIAL_YEAR", 1, 4).cast("int")
-        trading = year.between(F.col("FIRST_YEAR"), F.col("LAST_YEAR"))
-        return fact.contractor_fact(activity, self.contractors(), period, self.params, trading)
+        return fact.contractor_fact(activity, self.contractors(), period, self.params)
 
     def year_fact_from(self, activity: DataFrame) -> DataFrame:
         return require(self._fact(fact.contractor_years(activity), fact.YEAR), YEAR_FACT)
@@ -162,6 +159,7 @@ class Sample:
             MONTH_FACT,
             "FINANCIAL_YEAR",
             self.params,
+            self._version(),
         )
 
     def year_fact(self) -> DataFrame:
@@ -174,17 +172,18 @@ class Sample:
             YEAR_FACT,
             "FINANCIAL_YEAR",
             self.params,
+            self._version(),
         )
 
     # -- reference data -----------------------------------------------------
 
     def flu_reference(self) -> DataFrame:
-        """Flu measures by year and class, with one year missing."""
+        """Flu measures by year and class."""
         from apothecary.plans.extracts import NATIONAL, extract
 
         names = ("num_flu_pharm", "flu_items_total", "flu_cost_total", "flu_fees_total")
         flu = extract(self.year_fact(), NATIONAL, self.params, names)
-        return flu.where(F.col("financial_year") != "1996/1997").select(
+        return flu.select(
             F.col("financial_year").alias("FINANCIAL_YEAR"),
             F.col(CLASS.lower()).alias(CLASS),
             "num_flu_pharm",
@@ -221,15 +220,13 @@ class Sample:
         """Undigested decisions of the latest year."""
         return (
             self._decisions()
-            .where(
-                (F.col("financial_year") == self.params.latest_year)
-                & F.col("status").isin("F", "O")
-            )
+            .where(F.col("financial_year") == self.params.latest_year)
             .select(
                 "financial_year",
                 "locality",
                 F.when(F.col("status") == "F", "refused application")
-                .otherwise("granted application")
+                .when(F.col("status") == "O", "granted application")
+                .otherwise("remitted application")
                 .alias("application_decision"),
                 F.lit(1).cast("bigint").alias("number"),
             )

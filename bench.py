@@ -14,6 +14,7 @@ import time
 from pyspark.sql import SparkSession
 
 from apothecary.operators import fact
+from apothecary.session import forget_written
 from catalogue import QUERIES
 from catalogue.core import Inputs
 
@@ -66,6 +67,7 @@ def main() -> None:
             }
         )
     )
+    forget_written(spark)
     spark.stop()
 
 

@@ -27,6 +27,7 @@ from apothecary.functions.scalars import (
     year_start,
 )
 from apothecary.operators import prep
+from apothecary.functions.formatting import thousands
 from apothecary.operators.median import exact_median
 from apothecary.operators.reshape import complete, to_long, to_wide
 from apothecary.params import BANDS, DECISIONS, GRANTED, LOCALITIES, REFUSED
@@ -134,19 +135,21 @@ query(
 )
 
 
+FLU_MEASURES = ("num_flu_pharm", "flu_items_total", "flu_cost_total", "flu_fees_total")
+
+
 def _national_with_flu(s: Inputs):
-    return s.extracts()(NATIONAL, ["num_flu_pharm", "flu_items_total", "flu_cost_total"])
+    return s.extracts()(NATIONAL, [*FLU_MEASURES])
 
 
 query(
     "prp09_flu_replaced",
     "SELECT financial_year, appliance_dispenser_hist, num_flu_pharm_csv AS num_flu_pharm,"
-    " flu_items_total_csv AS flu_items_total, flu_cost_total_csv AS flu_cost_total"
-    " FROM with_flu",
+    " flu_items_total_csv AS flu_items_total, flu_cost_total_csv AS flu_cost_total,"
+    " flu_fees_total_csv AS flu_fees_total FROM with_flu",
 )(
     lambda s: _national_with_flu(s).select(
-        "financial_year", "appliance_dispenser_hist", "num_flu_pharm", "flu_items_total",
-        "flu_cost_total",
+        "financial_year", "appliance_dispenser_hist", *FLU_MEASURES
     )
 )
 query(
@@ -263,10 +266,10 @@ query(
 query(
     "jn1_flu_reference",
     "SELECT financial_year, appliance_dispenser_hist, num_flu_pharm_dwh, num_flu_pharm_csv,"
-    " flu_items_total_dwh, flu_items_total_csv, flu_cost_total_dwh, flu_cost_total_csv"
-    " FROM with_flu",
+    " flu_items_total_dwh, flu_items_total_csv, flu_cost_total_dwh, flu_cost_total_csv,"
+    " flu_fees_total_dwh, flu_fees_total_csv FROM with_flu",
 )(
-    lambda s: _national_with_flu(s).drop("num_flu_pharm", "flu_items_total", "flu_cost_total")
+    lambda s: _national_with_flu(s).drop(*FLU_MEASURES)
 )
 
 
@@ -667,13 +670,16 @@ query(
 )
 query(
     "scl11_thousands",
-    f"SELECT {IDS}, format('{{:,}}', ITEMS) AS items,"
-    " format('{:,.2f}', CAST(NIC AS DOUBLE)) AS cost FROM year_fact",
-)(
-    lambda s: keyed(
-        s.year_fact(),
-        items=F.format_number("ITEMS", 0),
-        cost=F.format_number(F.col("NIC").cast("double"), 2),
+    # As many decimals as any amount needs for seven significant digits.
+    f"""WITH needed AS (SELECT max(CASE WHEN abs(NIC) < 100000 AND NIC * 10 % 1 <> 0 THEN 2
+    WHEN abs(NIC) < 1000000 AND round_even(NIC, 1) % 1 <> 0 THEN 1 ELSE 0 END) AS d FROM year_fact)
+    SELECT {IDS}, format('{{:,}}', ITEMS) AS items, CASE d
+    WHEN 0 THEN format('{{:,.0f}}', CAST(NIC AS DOUBLE)) WHEN 1 THEN format('{{:,.1f}}', CAST(NIC AS DOUBLE))
+    ELSE format('{{:,.2f}}', CAST(NIC AS DOUBLE)) END AS cost FROM year_fact, needed""",
+)(
+    lambda s: thousands(
+        keyed(s.year_fact(), ITEMS=F.col("ITEMS"), NIC=F.col("NIC")),
+        {"ITEMS": "items", "NIC": "cost"},
     )
 )
 query(

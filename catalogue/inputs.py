@@ -138,7 +138,7 @@ query(
 query(
     "fct9_distinct_providers",
     f"SELECT {YEAR_LABEL} AS financial_year, count(DISTINCT id) AS providers FROM claims"
-    " WHERE y >= 1996 AND (p + 3 * n) % 8 = 0 GROUP BY y",
+    " WHERE (p + 3 * n) % 8 = 0 GROUP BY y",
 )(
     lambda s: fact.distinct_providers(
         _claims_by_year(s).where(F.col("FLU_ITEMS") > 0), "CONTRACTOR_ID", ("financial_year",)

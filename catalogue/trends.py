@@ -85,9 +85,9 @@ query(
     WHERE b.{SERIES[0]} = a.{SERIES[0]} AND b.{YEAR} < a.{YEAR}
     AND b.items_total >= a.items_total) AS highest_since FROM national a""",
 )(
-    lambda s: _national(s, "items_total").select(
-        YEAR, *SERIES, "items_total",
-        trends.highest_since("items_total", SERIES, YEAR).alias("highest_since"),
+    lambda s: trends.highest_since(
+        _national(s, "items_total").select(YEAR, *SERIES, "items_total"),
+        "items_total", SERIES, YEAR, "highest_since",
     )
 )
 # The run is restated by counting back: rises since the last year without one.
@@ -148,12 +148,9 @@ query(
 )(lambda s: checks.unlisted_values(s.table("orders"), "o_orderstatus", ["F", "O"]))
 
 
-def _items_until(s: Inputs, month: int):
-    """Yearly items as they stood when months before ``month`` were in."""
+def _yearly_items(months):
     return (
-        s.month_fact()
-        .where(F.col("YEAR_MONTH") < month)
-        .groupBy(F.col("FINANCIAL_YEAR").alias(YEAR), F.col(CLASS).alias(SERIES[0]))
+        months.groupBy(F.col("FINANCIAL_YEAR").alias(YEAR), F.col(CLASS).alias(SERIES[0]))
         .agg(F.sum("ITEMS").alias("items"))
     )
 
@@ -168,7 +165,11 @@ query(
     FROM then_ FULL JOIN now_ USING ({KEYS}) WHERE then_.v IS DISTINCT FROM now_.v""",
 )(
     lambda s: checks.differences(
-        _items_until(s, 200103), _items_until(s, 999999), [YEAR, *SERIES], "items"
+        # As they stood when months before March 2001 were in, and as they are.
+        _yearly_items(s.month_fact().where("YEAR_MONTH < 200103")),
+        _yearly_items(s.month_fact()),
+        [YEAR, *SERIES],
+        "items",
     )
 )
 _WATCHED = ("num_contractors", "items_total", "num_nms_total")

@@ -63,9 +63,14 @@ def test_median_property(spark, xs):
     assert medians(spark, {"g": xs}, 50) == wanted
 
 
-def test_median_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("apothecary.operators.median.BROADCAST_GROUPS", 0)
-    assert medians(spark, {"a": [3.0, 1.0], "b": [5.0]}) == {"a": 2.0, "b": 5.0}
+def test_building_a_median_runs_nothing_and_keeps_nothing(spark):
+    df = spark.createDataFrame([("a", 3.0), ("a", 1.0)], "g string, x double")
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    out = exact_median(df, ["g"], "x", "m")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    assert out.first()["m"] == 2.0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 # -- preparation ------------------------------------------------------------------
@@ -186,11 +191,11 @@ def test_trends(spark):
                 "top": trends.highest_so_far(x, ["k"], "y"),
                 "low": trends.lowest_so_far(x, ["k"], "y"),
                 "rank": trends.rank_from_highest(x, ["k"]),
-                "highest": trends.highest_since("x", ["k"], "y"),
             }
         ),
         "x", ["k"], "y", "run",
-    ).orderBy("y").collect()
+    )
+    got = trends.highest_since(got, "x", ["k"], "y", "highest").orderBy("y").collect()
     assert [r["change"] for r in got] == [None, 1, 1, 0, -3, 1, 4, 1]
     assert [r["run"] for r in got] == [0, 1, 2, 0, 0, 1, 2, 3]
     assert [r["top"] for r in got] == [True, True, True, True, False, False, True, True]
@@ -296,7 +301,11 @@ def test_control_limits_flag_an_outlier(spark):
 
 
 def test_jdbc_reads_in_slices(spark):
-    options = JdbcTable("jdbc:x", "FACT", slices=8, properties={"user": "u"}).options()
+    table = JdbcTable("jdbc:x", "FACT", slices=8, properties={"user": "u"})
+    options = table.sliced(5, 900)
+    assert (options["lowerBound"], options["upperBound"]) == ("5", "900")
+    assert table.sliced(4, 4)["numPartitions"] == "1" and "lowerBound" not in table.sliced(None, None)
+    assert table.bounds_query() == "SELECT min(CONTRACTOR_ID) AS low, max(CONTRACTOR_ID) AS high FROM FACT"
     assert options["numPartitions"] == "8" and options["partitionColumn"] == "CONTRACTOR_ID"
     assert options["user"] == "u" and options["dbtable"] == "FACT"
 

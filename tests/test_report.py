@@ -195,7 +195,7 @@ def test_publication(spark, inputs, tmp_path):
     alone = tables.table(3, inputs.extracts(), inputs.params)
     assert row_sets(stored) == row_sets(alone)
     csv = spark.read.csv(f"{out}/figures/figure_17/wide", header=True)
-    assert csv.columns == ["year_month", "cost_of_consultation_fees", "cost_of_products"]
+    assert csv.columns == ["year_month", "cost_of_products", "cost_of_consultation_fees"]
 
 
 def test_job_from_files(spark, inputs, tmp_path):
