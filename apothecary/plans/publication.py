@@ -204,3 +204,19 @@ def published_rows(spark: SparkSession, folder: str) -> DataFrame:
         counts = one if counts is None else counts.unionAll(one)
     per_table = counts.groupBy("position").agg(F.count(F.lit(1)).alias("row_count"))
     return contents(spark).join(per_table, "position").select("position", "title", "row_count")
+
+
+def published_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Every value of the written tables: position, row_key, column_name, value.
+
+    A row is named by its text columns, in order, with a bar between them.
+    """
+    values = None
+    for n in ALL_TABLES:
+        table = spark.read.parquet(f"{folder}/table_{n:02d}/parquet")
+        texts = [c for c, kind in table.dtypes if kind == "string"]
+        numbers = [F.col(c).cast("double").alias(c) for c in table.columns if c not in texts]
+        rows = table.select(F.lit(n).alias("position"), F.concat_ws("|", *texts).alias("row_key"), *numbers)
+        long = rows.unpivot(["position", "row_key"], None, "column_name", "value")
+        values = long if values is None else values.unionAll(long)
+    return values

@@ -8,7 +8,7 @@ from apothecary.functions.scalars import financial_year_label, financial_year_st
 from apothecary.operators import fact
 from apothecary.plans import figures, tables
 from apothecary.plans.extracts import NATIONAL, extract
-from apothecary.plans.publication import Publication, published_rows
+from apothecary.plans.publication import Publication, published_values
 from apothecary.schemas import MONEY, VOLUMES, YEAR_FACT
 from apothecary.session import run_folder
 from apothecary.sinks.files import write_csv, write_rows
@@ -257,43 +257,27 @@ def _published(s: Inputs):
     extracts = publication.extracts()
     publication.publish_tables(folder, extracts)
     extracts.release()
-    return published_rows(s.spark, folder).select("position", "row_count")
-
-
-def _count_sql(n: int) -> str:
-    """Rows of a table from the keys it is grouped by."""
-    pharmacies = "appliance_dispenser_hist = 'N'"
-    latest = "financial_year = '2001/2002'"
-    late = "financial_year > '1998/1999'"
-    years = "SELECT count(DISTINCT financial_year) AS r FROM national WHERE "
-    if n in (1, 12, 13):
-        return years + "true"
-    if n == 4:
-        return f"SELECT 6 * count(DISTINCT financial_year) AS r FROM national WHERE {pharmacies}"
-    if n == 9:
-        return years + f"{pharmacies} AND {late}"
-    if n in (10, 11):
-        return years + "appliance_dispenser_hist = 'Y'"
-    if n in (14, 16, 18, 15, 17, 19):
-        area = "region_code" if n % 2 == 0 else "icb_code"
-        only = latest if n in (18, 19) else f"{latest} AND {pharmacies}"
-        return f"SELECT count(DISTINCT {area}) AS r FROM sub_national WHERE {only}"
-    if n == 20:
-        return (
-            "SELECT count(DISTINCT application_decision)"
-            " * count(DISTINCT (financial_year, locality)) AS r FROM appeals"
-        )
-    return years + pharmacies
+    return published_values(s.spark, folder)
+
+
+def _values_sql(n: int) -> str:
+    """The values of a table, from the SQL that checks it."""
+    body = next(sql for name, sql in BODIES.items() if name.startswith(f"tab{n:02d}_"))
+    keys = ["financial_year", *_MORE_KEYS.get(n, ())]
+    named = f"SELECT concat_ws('|', {', '.join(keys)}) AS row_key, * EXCLUDE ({', '.join(keys)}) FROM ({body})"
+    doubles = f"SELECT row_key, CAST(COLUMNS(* EXCLUDE (row_key)) AS DOUBLE) FROM ({named})"
+    return (
+        f"SELECT CAST({n} AS INTEGER) AS position, row_key, column_name, value FROM"
+        f" ({doubles}) UNPIVOT INCLUDE NULLS (value FOR column_name IN (COLUMNS(* EXCLUDE (row_key))))"
+    )
 
 
-query(
-    "snk2_publication",
-    " UNION ALL ".join(
-        f"SELECT CAST({n} AS INTEGER) AS position, CAST(r AS BIGINT) AS row_count"
-        f" FROM ({_count_sql(n)})"
-        for n in range(1, 21)
-    ),
-)(_published)
+_MORE_KEYS = {
+    4: ("dispensing_volume_band",),
+    20: ("locality", "application_decision"),
+    **{n: (("region_code", "region_name"), ("icb_code", "icb_name"))[n % 2] for n in range(14, 20)},
+}
+query("snk2_publication", " UNION ALL ".join(_values_sql(n) for n in range(1, 21)))(_published)
 
 
 def _figure_file(s: Inputs):
