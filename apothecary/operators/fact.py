@@ -105,12 +105,14 @@ def contractor_fact(
 ) -> DataFrame:
     """Activity per period with contractor attributes, band and owner type.
 
-    A contractor counts in every period it has claims in. Attributes and owner types
+    ``contractors`` has a row for each contractor, or, with FINANCIAL_YEAR, one for
+    each contractor and year. A contractor counts in every period it has claims in. Attributes and owner types
     are settled on narrow rows, without the sixty sums. The sums then meet them
     on contractor and period, the keys by which they were added up, so that
     year sums are not shuffled again.
     """
-    held = activity.select("CONTRACTOR_ID", *period).join(contractors, "CONTRACTOR_ID")
+    by = ["CONTRACTOR_ID", *(YEAR if "FINANCIAL_YEAR" in contractors.columns else ())]
+    held = activity.select("CONTRACTOR_ID", *period).join(contractors, by)
     held = with_owner_type(held, period, params).select(
         "CONTRACTOR_ID", *period, *ATTRIBUTES, "CONTRACTOR_TYPE"
     )
@@ -129,11 +131,11 @@ def contractor_fact(
     )
 
 
-def attributes_at_year_end(history: DataFrame, years: DataFrame, attribute: str) -> DataFrame:
-    """The attribute each contractor held on 31 March of every year in ``years``.
+def attributes_at_year_end(history: DataFrame, years: DataFrame, *attributes: str) -> DataFrame:
+    """The attributes each contractor held on 31 March of every year in ``years``.
 
     ``history`` has CONTRACTOR_ID, EFFECTIVE_DATE, SEQUENCE (order within a day)
-    and the attribute; ``years`` has CONTRACTOR_ID and FINANCIAL_YEAR. The last day
+    and the attributes, all of them in every row; ``years`` has CONTRACTOR_ID and FINANCIAL_YEAR. The last day
     of change inside each financial year is found first: a date, which a hash
     aggregate holds, with partial results before the shuffle. Only the changes of
     those days are put in order, and only their last, at most one per contractor
@@ -145,7 +147,7 @@ def attributes_at_year_end(history: DataFrame, years: DataFrame, attribute: str)
         F.max("EFFECTIVE_DATE").alias("EFFECTIVE_DATE")
     )
     last = changes.join(days, ["CONTRACTOR_ID", "START", "EFFECTIVE_DATE"])
-    state = F.struct("SEQUENCE", F.struct(F.col(attribute).alias("value")).alias("state"))
+    state = F.struct("SEQUENCE", F.struct(*attributes).alias("state"))
     states = last.groupBy("CONTRACTOR_ID", "START").agg(
         F.array_max(F.collect_list(state))["state"].alias("state")
     )
@@ -173,7 +175,7 @@ def attributes_at_year_end(history: DataFrame, years: DataFrame, attribute: str)
     return (
         per_year.withColumn("state", F.last("state", ignorenulls=True).over(so_far))
         .where("asked")
-        .select("CONTRACTOR_ID", "FINANCIAL_YEAR", F.col("state.value").alias(attribute))
+        .select("CONTRACTOR_ID", "FINANCIAL_YEAR", *[F.col(f"state.{a}").alias(a) for a in attributes])
     )
 
 

@@ -71,6 +71,21 @@ CONTRACTORS = T.StructType(
             "LPS_DISPENSER_HIST", "START_DATE_HIST", "CLOSE_DATE_HIST")
 )
 
+# A claim line: what it adds to each fact column; money in pence.
+CLAIMS = T.StructType(
+    [T.StructField("CONTRACTOR_ID", T.LongType(), False), T.StructField("CLAIM_DATE", T.DateType())]
+    + [T.StructField(n, T.LongType()) for n in (*VOLUMES, *MONEY)]
+)
+# A change of attributes: what a contractor holds from a day on.
+ATTRIBUTE_HISTORY = T.StructType(
+    [
+        T.StructField("CONTRACTOR_ID", T.LongType(), False),
+        T.StructField("EFFECTIVE_DATE", T.DateType()),
+        T.StructField("SEQUENCE", T.LongType()),
+    ]
+    + _text("OWNER_ID", CLASS, *GEOGRAPHY, "DIST_SELLING_DISPENSER_HIST", "LPS_DISPENSER_HIST")
+)
+
 FLU = T.StructType(
     _text("FINANCIAL_YEAR", CLASS)
     + [

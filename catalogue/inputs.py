@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from apothecary.functions.scalars import financial_year_label, financial_year_start, safe_ratio
 from apothecary.operators import fact
-from apothecary.plans import figures, tables
+from apothecary.plans import facts, figures, tables
 from apothecary.plans.extracts import NATIONAL, extract
 from apothecary.plans.publication import Publication, published_values
 from apothecary.schemas import MONEY, VOLUMES, YEAR_FACT
@@ -109,6 +109,33 @@ query(
         )
     )
 )
+
+
+def _fact_with_history(s: Inputs):
+    """The year fact with LPS status by the return flag of the last claim line of the year."""
+    months = s.activity()
+    flag = F.when(F.col("STATE") == "R", "Y").otherwise("N")
+    history = s.attribute_history().withColumn("LPS_DISPENSER_HIST", flag).drop("STATE")
+    held = facts.held_by_year(s.contractors(), history, months)
+    return facts.year_fact(months, held, s.params)
+
+
+query(
+    "fct6_fact_with_history",
+    """SELECT f.CONTRACTOR_ID AS contractor_id, f.FINANCIAL_YEAR AS financial_year,
+    CASE WHEN h.state = 'R' THEN 'Y' ELSE 'N' END AS lps, f.CONTRACTOR_TYPE AS contractor_type,
+    f.ITEMS AS items, f.NIC AS cost FROM year_fact f JOIN (SELECT a.id, a.y,
+    arg_max(l.l_returnflag, row(l.l_shipdate, l.l_orderkey, l.l_linenumber, l.l_extendedprice,
+    l.l_returnflag)) AS state FROM (SELECT DISTINCT id, y FROM claims) a
+    JOIN lineitem l ON l.l_suppkey = a.id AND l.l_shipdate < make_date(a.y + 1, 4, 1)
+    GROUP BY a.id, a.y) h ON h.id = f.CONTRACTOR_ID AND h.y = f.y""",
+)(
+    lambda s: _fact_with_history(s).selectExpr(
+        "CONTRACTOR_ID AS contractor_id", "FINANCIAL_YEAR AS financial_year",
+        "LPS_DISPENSER_HIST AS lps", "CONTRACTOR_TYPE AS contractor_type",
+        "ITEMS AS items", "NIC AS cost",
+    )
+)
 query(
     "fct7_owner_type",
     "SELECT CONTRACTOR_ID AS contractor_id, FINANCIAL_YEAR AS financial_year,"

@@ -220,3 +220,37 @@ def test_job_from_files(spark, inputs, tmp_path):
     assert row_sets(stored) == row_sets(alone)
     appeals = spark.read.parquet(at("out/tables/table_20/parquet"))
     assert appeals.where("financial_year = '2001/2002'").count() == 9
+
+
+def test_job_from_claims_to_publication(spark, inputs, tmp_path):
+    """Claim files, contractors and a history that moves one contractor to another class."""
+    from apothecary.sinks.files import write_csv
+    from build_facts import run as build
+    from publish import run as publish
+
+    at = lambda name: str(tmp_path / name)
+    inputs.claims().write.parquet(at("claims"))
+    inputs.contractors().write.parquet(at("contractors"))
+    names = ("OWNER_ID", "APPLIANCE_DISPENSER_HIST", "ICB_CODE", "ICB_NAME", "REGION_CODE", "REGION_NAME",
+             "DIST_SELLING_DISPENSER_HIST", "LPS_DISPENSER_HIST")
+    history = inputs.contractors().where("CONTRACTOR_ID = 1").selectExpr(
+        "CONTRACTOR_ID", "DATE'1998-05-01' AS EFFECTIVE_DATE", "1L AS SEQUENCE", *names
+    )
+    history = history.withColumn("LPS_DISPENSER_HIST", F.lit("Z"))
+    history.write.parquet(at("history"))
+    build(spark, ["--claims", at("claims"), "--contractors", at("contractors"), "--history", at("history"), "--out", at("facts")])
+    years = spark.read.parquet(at("facts/years"))
+    own = inputs.year_fact()
+    assert years.count() == own.count()
+    assert years.agg(F.sum("NIC")).first() == own.agg(F.sum("NIC")).first()
+    lps = {r["FINANCIAL_YEAR"]: r["LPS_DISPENSER_HIST"] for r in years.where("CONTRACTOR_ID = 1").collect()}
+    assert {lps[y] for y in lps if y >= "1998/1999"} == {"Z"} and "Z" not in {lps[y] for y in lps if y < "1998/1999"}
+    write_csv(inputs.flu_reference(), at("flu"))
+    write_csv(inputs.appeals_history(), at("old"))
+    write_csv(inputs.appeals_current(), at("new"))
+    publish(
+        spark,
+        ["--years", at("facts/years"), "--months", at("facts/months"), "--flu", at("flu"),
+         "--appeals-history", at("old"), "--appeals-current", at("new"), "--out", at("out"), "--latest-year", "2001/2002"],
+    )
+    assert spark.read.parquet(at("out/tables/table_03/parquet")).count() > 0
