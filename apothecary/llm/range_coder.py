@@ -24,11 +24,12 @@ import zlib
 import numpy as np
 
 MAGIC = b"CMR1"
-BLOCK = 2048
+BLOCK = 1024
 MOST_ID = (1 << 16) - 1
 PRECISION = 15
 RATE = 5
-SLOTS = 1 << 12
+SLOTS = 1 << 10
+WEIGHED_EVERY = 4
 SYMBOLS = 11
 CONFIDENCES = 8
 _BITS = np.array([max(0, int(h).bit_length() - 1) for h in range(256)])
@@ -66,6 +67,7 @@ class _Models:
         self.last1 = np.zeros(lanes, np.int64)
         self.last2 = np.zeros(lanes, np.int64)
         self.lane = np.arange(lanes)
+        self.steps = 0
         self.slot, self.level, self.cell = self.lane * SLOTS, self.lane * CONFIDENCES, self.lane * _WIDE
 
     def predict(self, k: int) -> np.ndarray:
@@ -88,13 +90,15 @@ class _Models:
 
     def update(self, k: int, symbol: np.ndarray, ids: np.ndarray) -> None:
         """``ids`` came, as ``symbol``."""
-        cell = self.cell[:k] + symbol
-        above = cell + 1
-        share0, share1, share2 = (x.reshape(-1).take(above) - x.reshape(-1).take(cell) for x in (self.own0, self.own1, self.own2))
-        total = (share0 + share1 + share2).astype(np.float64)
-        # Quotients of integers below 2**31, so exact enough to be the same everywhere.
-        self.weight1[:k] += ((share1 * 65536.0 / total).astype(np.int32) - self.weight1[:k]) >> RATE
-        self.weight2[:k] += ((share2 * 65536.0 / total).astype(np.int32) - self.weight2[:k]) >> RATE
+        # Weights change slowly, so every few ids tell enough.
+        if self.steps % WEIGHED_EVERY == 0:
+            cell = self.cell[:k] + symbol
+            above = cell + 1
+            share0, share1, share2 = (x.reshape(-1).take(above) - x.reshape(-1).take(cell) for x in (self.own0, self.own1, self.own2))
+            total = share0 + share1 + share2
+            self.weight1[:k] += ((share1 << 15) // total * 2 - self.weight1[:k]) >> (RATE - 1)
+            self.weight2[:k] += ((share2 << 15) // total * 2 - self.weight2[:k]) >> (RATE - 1)
+        self.steps += 1
         target = _TARGET.take(symbol, 0)
         for own in (self.own1, self.own2):
             own += (target - own) >> RATE

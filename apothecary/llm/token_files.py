@@ -30,7 +30,7 @@ from apothecary.llm.shared import stored
 from apothecary.llm.textvec import sliced
 
 END = 2
-SEGMENT_IDS = 2 << 20
+SEGMENT_IDS = 4 << 20
 CACHED_PIECES = 300_000
 _SEGMENTS = "part int, segment int, n_ids long, doc_ids array<long>, lengths array<long>, data binary"
 
