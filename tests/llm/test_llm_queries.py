@@ -3,15 +3,14 @@
 import hashlib
 import re
 
-import numpy as np
 import pytest
 from comparing import database, difference
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from apothecary.llm import bpe, mixing, toxicity
+from apothecary.llm import mixing, toxicity
 from apothecary.llm.queries import ORACLES, QUERIES
-from test_operators import LABELS, docs_of, near_truth, removed
+from test_llm_operators import docs_of, near_truth, removed
 
 FOLDER = "/root/testdata/sf0.001"
 
