@@ -19,12 +19,13 @@ NEAR = chosen_path.NearSettings(words=5, percent=80)
 
 def _folded(docs: DataFrame, *used: str) -> DataFrame:
     """The used columns, and all others in one, where their names meet no operator's."""
-    rest = [c for c in docs.columns if c not in used]
-    return docs.select(*used, F.struct(F.lit(0).alias("_none"), *rest).alias("_rest"))
+    rest = [c for c in docs.columns if c not in used] or [F.lit(0).alias("none")]
+    return docs.select(*used, F.struct(*rest).alias("_rest"))
 
 
 def _unfolded(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    return rows.select(*(F.col(c if c in rows.columns and c not in rows.schema["_rest"].dataType.names else f"_rest.`{c}`").alias(c) for c in docs.columns))
+    folded = rows.schema["_rest"].dataType.names
+    return rows.select(*[F.col(f"_rest.`{c}`" if c in folded else c).alias(c) for c in docs.columns])
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

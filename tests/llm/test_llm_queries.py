@@ -48,9 +48,10 @@ def test_stages_by_brute_force(spark):
     copies = {r["doc_id"]: r["copies"] for r in mixing.mixed_sources(cut).collect()}
     times = {r["doc_id"]: r["count"] for r in mix.groupBy("doc_id").count().collect()}
     assert all(sum(times.get(i, 0) for i in copies) == mix.count() and times.get(i, 0) <= 3 for i in copies)
-    for r in mixing.mixed_sources(cut).groupBy("source").agg(F.first("target").alias("t")).collect():
+    for r in mixing.mixed_sources(cut).groupBy("source").agg(F.first("target").alias("t"), F.max("size").alias("longest")).collect():
         words = mix.where(F.col("source").eqNullSafe(F.lit(r["source"]))).agg(F.sum(mixing.word_count())).first()[0]
-        assert abs(words - r["t"]) <= 0.1 * r["t"] + 5
+        # A source of a few documents comes as near as its documents allow.
+        assert abs(words - r["t"]) <= max(0.02 * r["t"], r["longest"] / 2)
 
     out = stages["encoding"](spark, mix, FOLDER).collect()
     assert len(out) == mix.count()
