@@ -71,11 +71,13 @@ def written_once(
     partition: str | None = None,
     settings: object = None,
     version: str = "",
+    sized: bool = True,
 ) -> DataFrame:
     """``build()`` written as a table, once per application, settings and input version.
 
-    The rebalance hint lets adaptive execution size the files: a year with many rows
-    is split over several, small ones are not shredded. Two threads that ask for the
+    ``sized`` lets adaptive execution size the files, at the price of a shuffle: a year
+    with many rows is split over several, small ones are not shredded. Without it the
+    last shuffle of ``build()`` makes the files. Two threads that ask for the
     same table wait for one to write it; each table has a path of its own.
     """
     key = (spark.sparkContext.applicationId, source, name, repr(settings), version)
@@ -83,7 +85,9 @@ def written_once(
         if key not in _written:
             path = f"{run_folder(spark, 'facts')}/{name}-{uuid4().hex}"
             by = [partition] if partition else []
-            build().hint("rebalance", *by).write.partitionBy(*by).parquet(path)
+            rows = build()
+            rows = rows.hint("rebalance", *by) if sized else rows
+            rows.write.partitionBy(*by).parquet(path)
             _written[key] = path
     return read_fact(spark, _written[key], schema)
 

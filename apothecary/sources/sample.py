@@ -141,6 +141,7 @@ class Sample:
             ACTIVITY,
             "FINANCIAL_YEAR",
             version=self._version(),
+            sized=False,
         )
 
     def _fact(self, activity: DataFrame, period: tuple[str, ...]) -> DataFrame:
