@@ -310,6 +310,15 @@ def test_jdbc_reads_in_slices(spark):
     assert options["user"] == "u" and options["dbtable"] == "FACT"
 
 
+def test_job_names_a_database():
+    from publish import arguments, database
+
+    words = ["--years", "Y", "--months", "M", "--flu", "f", "--appeals-history", "h", "--appeals-current", "c", "--out", "o"]
+    args = arguments([*words, "--jdbc-url", "jdbc:x", "--jdbc-property", "user=u", "--jdbc-property", "driver=d"])
+    options = database(args, args.years).sliced(1, 9)
+    assert (options["url"], options["dbtable"], options["user"], options["driver"]) == ("jdbc:x", "Y", "u", "d")
+
+
 def test_flu_file_with_missing_column_fails(spark, tmp_path):
     (tmp_path / "flu.csv").write_text("FINANCIAL_YEAR,num_flu_pharm\n1999/2000,1\n")
     with pytest.raises(ValueError, match="APPLIANCE_DISPENSER_HIST"):
