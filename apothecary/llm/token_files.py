@@ -131,7 +131,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read(segments: DataFrame) -> DataFrame:
     """Per document: (doc_id, start, n_tokens, ids_crc32), decoded from ``segments``."""
-    docs = segments.mapInArrow(_read, "part int, segment int, doc_id long, offset long, n_tokens long, ids_crc32 long")
+    # Written, as the join would otherwise decode more than once.
+    kinds = "part int, segment int, doc_id long, offset long, n_tokens long, ids_crc32 long"
+    docs = stored(segments.mapInArrow(_read, kinds), "decoded")
     starts = running_sum(segments.select("part", "segment", "n_ids"), [F.col("part"), F.col("segment")], "n_ids", "before")
     return docs.join(starts.select("part", "segment", "before"), ["part", "segment"]).select(
         "doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
