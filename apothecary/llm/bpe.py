@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from apothecary.llm.textvec import sliced
+from apothecary.llm.textvec import hand_back, sliced
 
 WIDEST_ROW = 64
-CACHED_WORDS = 600_000
-ENCODED_BYTES = 4 << 20
+CACHED_WORDS = 400_000
+ENCODED_BYTES = 2 << 20
 NO_PAIR = np.int32((1 << 31) - 1)
 NO_PAIR64 = np.int64(1) << np.int64(62)
 
@@ -260,6 +260,8 @@ def encoded(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id
             for part in sliced(batch, text, ENCODED_BYTES):
                 packed = words.encode(part.column(text).fill_null("").to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(packed, pa.binary())], [*part.schema.names, ids])
+        del words
+        hand_back()
 
     return df.mapInArrow(run, with_column(df, ids, T.BinaryType()))
 
@@ -279,6 +281,8 @@ def decoded(df: DataFrame, ranks_path: str, ids: str = "ids", text: str = "decod
                 ends = np.append(0, np.cumsum(ranks.length[flat]))[np.cumsum(counts)].tolist()
                 texts = [data[a:b] for a, b in zip([0, *ends], ends)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*part.schema.names, text])
+        del ranks
+        hand_back()
 
     return df.mapInArrow(run, with_column(df, text, T.BinaryType()))
 

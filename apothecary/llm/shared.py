@@ -10,6 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from apothecary.session import run_folder
 
 
+# Rows of an Arrow batch. Texts are long, and a batch is held in the JVM and in Python.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to ``BATCH_ROWS``, also for later queries."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
@@ -18,6 +27,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     of earlier steps go when the driver collects its garbage, so it does that first.
     """
     spark = df.sparkSession
+    small_batches(spark)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     path = f"{run_folder(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
@@ -33,4 +43,5 @@ def clear(spark: SparkSession) -> None:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")

@@ -7,6 +7,7 @@ return, so word bounds never fall inside a character.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,7 @@ import pyarrow.compute as pc
 # White space of the word rule.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 SLICE_BYTES = 1 << 19
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
@@ -72,6 +74,14 @@ def sliced(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         total += size
     if begin < len(sizes):
         yield batch.slice(begin)
+    hand_back()
+
+
+def hand_back() -> None:
+    """Return freed memory to the system: Spark keeps Python workers for later tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 class Words:

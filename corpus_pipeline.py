@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apothecary.llm import bpe, chosen_path, mixing, repeats, toxicity
-from apothecary.llm.shared import documents, stored
+from apothecary.llm.shared import documents, small_batches, stored
 
 NEAR = chosen_path.NearSettings(words=5, percent=80)
 
@@ -62,6 +62,7 @@ def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, as digests."""
+    small_batches(spark)
     return bpe.digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
