@@ -3,7 +3,8 @@
 Nearness is the inner product. Equal vectors are one node, named by their smallest
 id, so copies cost nothing and crowd nothing out. Nodes get one component more that
 makes their lengths equal; neighbours by angle are then neighbours by inner product.
-Signed bytes of the components steer the search, original vectors give the scores.
+The components as they are given steer graph and search, in double precision, so near
+copies are told apart; nothing is rounded or scaled.
 
 The graph: nodes meet first in small buckets of random hyperplanes; large buckets are
 cut at random. Then, round by round, the neighbours of a node, and some of those whose
@@ -29,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from apothecary.llm.shared import stored
 
@@ -58,21 +60,19 @@ def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.size("vec") == sizes["n"]) if sizes else rows
 
 
-def _codes(longest: float, seed: int, trees: int, bits: int):
-    """Bytes of each vector, made equally long, and its bucket in each tree."""
+def _codes(kind: str, seed: int, trees: int, bits: int):
+    """Bytes of each vector's components, and its bucket in each tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = None
         for batch in batches:
             if not len(batch):
                 continue
-            x = _matrix(batch.column("vec")) / longest
-            rest = np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))
-            full = np.column_stack([x, rest])
+            x = _matrix(batch.column("vec"))
             if planes is None:
-                planes = np.random.default_rng(seed).standard_normal((trees, max(bits, 1), full.shape[1]))
-            signs = np.stack([(full @ p.T > 0) @ (1 << np.arange(max(bits, 1))) for p in planes], 1) if bits else np.zeros((len(x), trees), np.int64)
-            code = np.rint(full * 127).astype(np.int8)
+                planes = np.random.default_rng(seed).standard_normal((trees, max(bits, 1), x.shape[1]))
+            signs = np.stack([(x @ p.T > 0) @ (1 << np.arange(max(bits, 1))) for p in planes], 1) if bits else np.zeros((len(x), trees), np.int64)
+            code = x.astype(kind)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(list(signs.astype(np.int64)), pa.list_(pa.int64()))],
                 ["id", "code", "buckets"],
@@ -87,27 +87,41 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy().astype(float).reshape(len(column), -1)
 
 
-def _bytes(column: pa.ChunkedArray) -> np.ndarray:
+def _components(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), np.int8).reshape(len(rows), -1).astype(np.float32)
+    return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1)
+
+
+def _nearness(x: np.ndarray, longest: float) -> np.ndarray:
+    """Less half the squared distance of each two nodes, with the component that makes lengths equal.
+
+    It orders as their angle does, and keeps its digits where that component is much the largest.
+    """
+    x = x.astype(float)
+    square = (x * x).sum(1)
+    rest = np.sqrt(np.maximum(0, longest * longest - square))
+    both = rest[:, None] + rest
+    apart = np.divide(square[:, None] - square, both, out=np.zeros_like(both), where=both > 0)
+    sims = x @ x.T - (square[:, None] + square) / 2 - apart * apart / 2
+    np.fill_diagonal(sims, -np.inf)
+    return sims
 
 
 def _listed(node: list, other: list, near: list) -> pa.Table:
     return pa.table({
-        "id": pa.array(node, pa.int64()), "nbrs": pa.array(other, pa.list_(pa.int64())), "sims": pa.array(near, pa.list_(pa.float32())),
+        "id": pa.array(node, pa.int64()), "nbrs": pa.array(other, pa.list_(pa.int64())), "sims": pa.array(near, pa.list_(pa.float64())),
     })
 
 
-_LISTS = "id long, nbrs array<long>, sims array<float>"
+_LISTS = "id long, nbrs array<long>, sims array<double>"
 
 
-def _acquainted(degree: int):
+def _acquainted(degree: int, longest: float, kind: str):
     """The best of each node among the nodes of its bucket."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, x = table.column("id").to_numpy(), _bytes(table.column("code"))
-        sims = x @ x.T
-        np.fill_diagonal(sims, -np.inf)
+        ids = table.column("id").to_numpy()
+        sims = _nearness(_components(table.column("code"), kind), longest)
         keep = min(degree, len(ids) - 1)
         if keep < 1:
             return _listed([], [], [])
@@ -117,7 +131,7 @@ def _acquainted(degree: int):
     return run
 
 
-def _introduced(most: int):
+def _introduced(most: int, longest: float, kind: str):
     """For each node around a common one, those around it that are nearer than the worst it has."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -125,13 +139,12 @@ def _introduced(most: int):
         center = table.column("center").to_numpy()[order]
         ids = table.column("id").to_numpy()[order]
         worst = table.column("worst").to_numpy()[order]
-        x = _bytes(table.column("code"))[order]
+        x = _components(table.column("code"), kind)[order]
         node, other, near = [], [], []
         bounds = np.flatnonzero(np.append(True, center[1:] != center[:-1])).tolist() + [len(center)]
         for a, b in zip(bounds, bounds[1:]):
-            own, part = ids[a:b], x[a:b]
-            sims = part @ part.T
-            np.fill_diagonal(sims, -np.inf)
+            own = ids[a:b]
+            sims = _nearness(x[a:b], longest)
             better = sims > worst[a:b, None]
             for i in np.flatnonzero(better.any(1)):
                 at = np.flatnonzero(better[i])
@@ -181,23 +194,23 @@ def _merged(lists: DataFrame, degree: int, shards: int) -> DataFrame:
     return _sharded(lists, "id", shards).groupBy("shard").applyInArrow(_best(degree), _LISTS + ", changed long")
 
 
-def neighbour_graph(nodes: DataFrame, settings: GraphSettings, count: int) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, settings: GraphSettings, count: int, longest: float, kind: str) -> DataFrame:
     """(id, nbrs, sims) of the nodes (id, code, buckets)."""
     shards = max(1, count // 2000)
     placed = nodes.select("id", "code", F.posexplode("buckets").alias("tree", "bucket"))
     sizes = placed.groupBy("tree", "bucket").agg(F.ceil(F.count("*") / settings.bucket).alias("parts"))
     dealt = placed.join(sizes, ["tree", "bucket"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
-    met = dealt.groupBy("tree", "bucket", "part").applyInArrow(_acquainted(settings.degree), _LISTS)
+    met = dealt.groupBy("tree", "bucket", "part").applyInArrow(_acquainted(settings.degree, longest, kind), _LISTS)
     graph = stored(_merged(met.withColumn("old", F.lit(False)), settings.degree, shards), "graph")
     codes = nodes.select("id", "code")
     for turn in range(settings.rounds):
         ahead = graph.select(F.col("id").alias("center"), F.explode("nbrs").alias("id"))
         pairs = ahead.unionByName(_reverse(graph, settings.reverse, turn).select(F.col("id").alias("center"), F.col("by").alias("id"))).distinct()
         # A list that is not full takes any newcomer.
-        worst = F.when(F.size("sims") < settings.degree, F.lit(float("-inf"))).otherwise(F.array_min("sims")).cast("float")
-        known = codes.join(graph.select("id", worst.alias("worst")), "id", "left").withColumn("worst", F.coalesce("worst", F.lit(float("-inf")).cast("float")))
+        worst = F.when(F.size("sims") < settings.degree, F.lit(float("-inf"))).otherwise(F.array_min("sims"))
+        known = codes.join(graph.select("id", worst.alias("worst")), "id", "left").withColumn("worst", F.coalesce("worst", F.lit(float("-inf"))))
         around = _sharded(pairs.join(known, "id"), "center", shards)
-        news = around.groupBy("shard").applyInArrow(_introduced(settings.introduced), _LISTS)
+        news = around.groupBy("shard").applyInArrow(_introduced(settings.introduced, longest, kind), _LISTS)
         lists = news.withColumn("old", F.lit(False)).unionByName(graph.select("id", "nbrs", "sims", F.lit(True).alias("old")))
         graph = stored(_merged(lists, settings.degree, shards), "graph")
         if (graph.agg(F.sum("changed")).first()[0] or 0) <= settings.still * settings.degree * count:
@@ -212,7 +225,7 @@ def _reverse(graph: DataFrame, most: int, turn: int) -> DataFrame:
     return pairs.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most).drop("at")
 
 
-def _stepped(beam: int, width: int):
+def _stepped(beam: int, width: int, kind: str):
     """Beams with the newcomers scored, and what each expands next."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -220,7 +233,7 @@ def _stepped(beam: int, width: int):
         come = table.filter(pc.is_null(table.column("own")))
         q = come.column("query").to_numpy()
         node = come.column("node").to_numpy()
-        x = _bytes(come.column("code")) if len(come) else np.zeros((0, 1), np.float32)
+        x = _components(come.column("code"), kind) if len(come) else np.zeros((0, 1))
         order = np.argsort(q, kind="stable")
         q, node, x = q[order], node[order], x[order]
         out = []
@@ -228,10 +241,8 @@ def _stepped(beam: int, width: int):
             a, b = np.searchsorted(q, [query, query + 1])
             mine = np.array(beams, np.int64)
             ids, first = np.unique(np.concatenate([mine, node[a:b]]), return_index=True)
-            # The component that makes lengths equal is no part of a query.
-            vector = np.frombuffer(own, np.int8).astype(np.float32)
-            vector[-1] = 0
-            score = np.concatenate([np.array(sims, np.float32), x[a:b] @ vector if b > a else np.zeros(0, np.float32)])[first]
+            vector = np.frombuffer(own, kind).astype(float)
+            score = np.concatenate([np.array(sims, float), x[a:b].astype(float) @ vector if b > a else np.zeros(0)])[first]
             was = np.concatenate([np.array(done, bool), np.zeros(b - a, bool)])[first]
             best = np.lexsort((ids, -score))[:beam]
             ids, score, was = ids[best], score[best], was[best]
@@ -239,16 +250,16 @@ def _stepped(beam: int, width: int):
             was[following] = True
             out.append((query, own, ids, score, was, ids[following]))
         columns = list(zip(*out)) or [()] * 6
-        kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float32()), pa.list_(pa.bool_()), pa.list_(pa.int64()))
+        kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_()), pa.list_(pa.int64()))
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["query", "own", "nodes", "sims", "done", "expand"])
 
     return run
 
 
-_BEAM = "query long, own binary, nodes array<long>, sims array<float>, done array<boolean>, expand array<long>"
+_BEAM = "query long, own binary, nodes array<long>, sims array<double>, done array<boolean>, expand array<long>"
 
 
-def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: GraphSettings, count: int) -> DataFrame:
+def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: GraphSettings, count: int, kind: str) -> DataFrame:
     """(query, node): the nodes in each query's last beam, for queries (query, node, code) at a node."""
     around = _reverse(graph, settings.reverse, -1).groupBy("id").agg(F.collect_list("by").alias("by"))
     ways = stored(
@@ -256,7 +267,7 @@ def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: G
     )
     codes = nodes.select(F.col("id").alias("node"), "code")
     beams = queries.select(
-        "query", F.col("code").alias("own"), F.array().cast("array<long>").alias("nodes"), F.array().cast("array<float>").alias("sims"),
+        "query", F.col("code").alias("own"), F.array().cast("array<long>").alias("nodes"), F.array().cast("array<double>").alias("sims"),
         F.array().cast("array<boolean>").alias("done"), F.array("node").alias("expand"),
     )
     shards = max(1, count // 500)
@@ -269,7 +280,7 @@ def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: G
             met = met.unionByName(front.select("query", F.col("id").alias("node"))).distinct()
         come = met.join(codes, "node").select("query", "node", "code")
         both = beams.drop("expand").unionByName(come, allowMissingColumns=True)
-        beams = stored(_sharded(both, "query", shards).groupBy("shard").applyInArrow(_stepped(settings.beam, settings.width), _BEAM), "beams")
+        beams = stored(_sharded(both, "query", shards).groupBy("shard").applyInArrow(_stepped(settings.beam, settings.width, kind), _BEAM), "beams")
     return beams.select("query", F.explode("nodes").alias("node"))
 
 
@@ -286,16 +297,17 @@ def nearest(
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     row = classes.agg(F.max(length).alias("longest"), F.count("*").alias("n")).first()
     count = row["n"]
+    kind = "<f4" if classes.schema["vec"].dataType == T.ArrayType(T.FloatType()) else "<f8"
     bits = max(0, int(np.ceil(np.log2(max(count, 1) / settings.bucket))))
     named = classes.select(F.col("node").alias("id"), "vec")
-    nodes = stored(named.mapInArrow(_codes(row["longest"] or 1.0, settings.seed, settings.trees, bits), "id long, code binary, buckets array<long>"), "nodes")
-    graph = stored(neighbour_graph(nodes, settings, count), "graph")
+    nodes = stored(named.mapInArrow(_codes(kind, settings.seed, settings.trees, bits), "id long, code binary, buckets array<long>"), "nodes")
+    graph = stored(neighbour_graph(nodes, settings, count, row["longest"] or 1.0, kind), "graph")
 
     own = rows.join(classes.select("vec", "node"), "vec").select("id", "node")
     asking = own.where(asks) if asks is not None else own
     # Queries at one node share one search.
     starts = asking.select("node").distinct().join(nodes.select(F.col("id").alias("node"), "code"), "node").select(F.col("node").alias("query"), "node", "code")
-    found = stored(searched(starts, nodes, graph, settings, count), "found")
+    found = stored(searched(starts, nodes, graph, settings, count, kind), "found")
     vectors = classes.select("node", "vec")
     exact = (
         found.join(vectors.select(F.col("node").alias("query"), F.col("vec").alias("q")), "query").join(vectors, "node")

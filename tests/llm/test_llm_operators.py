@@ -499,3 +499,30 @@ def test_nearest_neighbours_of_small_tables(spark):
     assert nn_descent.nearest(spark.createDataFrame([(0, [1.0, 0.0])], kinds)).count() == 0
     rows = nn_descent.nearest(spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0])], kinds)).collect()
     assert [r["vec_id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == 1] == [0, 3, 2]
+
+
+def recall_of(spark, x, asks):
+    """Share of the true 20 nearest that are found, and of the true nearest."""
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in nn_descent.nearest(df, asks=asks).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    wide, hits, first = x.astype(float), 0, 0
+    for q, ids in found.items():
+        scores = wide @ wide[q]
+        scores[q] = -np.inf
+        true = np.lexsort((np.arange(len(x)), -scores))[:20].tolist()
+        hits += len(ids & {*true})
+        first += true[0] in ids
+    return hits / (20 * len(found)), first / len(found)
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_nearest_neighbours_among_near_copies(spark):
+    rng = np.random.default_rng(17)
+    x = unit(rng.standard_normal((1000, 64)))
+    x[:500] = unit(x[0] + 0.003 * rng.standard_normal((500, 64)))
+    assert recall_of(spark, x.astype(np.float32), (F.col("id") < 500) & (F.col("id") % 10 == 0))[0] >= 0.9
