@@ -11,7 +11,9 @@ cut at random. Then, round by round, the neighbours of a node, and some of those
 neighbour it is, are brought together by joins and introduced to each other; a node
 keeps the ``degree`` best it has met. Rounds end when few lists still change.
 
-The search: a query starts from the neighbours of its own node. Each round joins the
+The search: a query starts from the neighbours of its own node, and from the best for
+it among the longest nodes of each band of lengths, as the largest products may lie with
+long nodes that are nobody's neighbours. Each round joins the
 neighbours of the best nodes not yet expanded and keeps the best ``beam``. The end is
 exact: scores in double precision, copies of a node by their ids, ties to the smaller.
 
@@ -48,6 +50,8 @@ class GraphSettings:
     width: int = 16
     steps: int = 6
     seed: int = 5
+    entries: int = 64
+    bands: int = 40
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -256,20 +260,56 @@ def _stepped(beam: int, width: int, kind: str):
     return run
 
 
+def _length() -> F.Column:
+    return F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+
+
+def _longest(named: DataFrame, longest: float, settings: GraphSettings) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of the longest nodes of each band; a band is half an octave, the last has the rest."""
+    band = F.least(F.floor(2 * F.log2(F.lit(longest) / F.col("length"))), F.lit(settings.bands - 1))
+    order = Window.partitionBy("band").orderBy(F.desc("length"), "id")
+    rows = (
+        named.withColumn("length", _length()).withColumn("band", band).withColumn("at", F.row_number().over(order))
+        .where(F.col("at") <= settings.entries).select("id", "vec").collect()
+    )
+    return np.array([r["id"] for r in rows], np.int64), np.array([r["vec"] for r in rows], float)
+
+
+def _entered(ids: np.ndarray, x: np.ndarray, settings: GraphSettings, kind: str):
+    """A first beam of each query from the nodes ``ids`` with vectors ``x``; its best are expanded with the query's own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                part = batch.slice(at, 1000)
+                own = part.column("code").to_pylist()
+                score = np.stack([np.frombuffer(o, kind) for o in own]).astype(float) @ x.T
+                best = [np.lexsort((ids, -s))[:settings.beam] for s in score]
+                node = part.column("node").to_pylist()
+                lists = (
+                    [ids[b] for b in best], [s[b] for s, b in zip(score, best)], [np.arange(len(b)) < settings.width for b in best],
+                    [np.unique(np.append(ids[b[:settings.width]], n)) for n, b in zip(node, best)],
+                )
+                kinds = (pa.int64(), pa.float64(), pa.bool_(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("query"), pa.array(own, pa.binary()), *(pa.array(v, pa.list_(k)) for v, k in zip(lists, kinds))],
+                    ["query", "own", "nodes", "sims", "done", "expand"],
+                )
+
+    return run
+
+
 _BEAM = "query long, own binary, nodes array<long>, sims array<double>, done array<boolean>, expand array<long>"
 
 
-def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: GraphSettings, count: int, kind: str) -> DataFrame:
+def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: GraphSettings, count: int, kind: str, entries: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """(query, node): the nodes in each query's last beam, for queries (query, node, code) at a node."""
     around = _reverse(graph, settings.reverse, -1).groupBy("id").agg(F.collect_list("by").alias("by"))
     ways = stored(
         graph.join(around, "id", "left").select("id", F.array_union("nbrs", F.coalesce("by", F.array().cast("array<long>"))).alias("ways")), "ways"
     )
     codes = nodes.select(F.col("id").alias("node"), "code")
-    beams = queries.select(
-        "query", F.col("code").alias("own"), F.array().cast("array<long>").alias("nodes"), F.array().cast("array<double>").alias("sims"),
-        F.array().cast("array<boolean>").alias("done"), F.array("node").alias("expand"),
-    )
+    beams = queries.select("query", "node", "code").mapInArrow(_entered(*entries, settings, kind), _BEAM)
     shards = max(1, count // 500)
     for step in range(settings.steps):
         front = beams.select("query", F.explode("expand").alias("id"))
@@ -294,8 +334,7 @@ def nearest(
     """
     rows = stored(usable(df, key, vector), "rows")
     classes = stored(rows.groupBy("vec").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "classes")
-    length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    row = classes.agg(F.max(length).alias("longest"), F.count("*").alias("n")).first()
+    row = classes.agg(F.max(_length()).alias("longest"), F.count("*").alias("n")).first()
     count = row["n"]
     kind = "<f4" if classes.schema["vec"].dataType == T.ArrayType(T.FloatType()) else "<f8"
     bits = max(0, int(np.ceil(np.log2(max(count, 1) / settings.bucket))))
@@ -307,7 +346,8 @@ def nearest(
     asking = own.where(asks) if asks is not None else own
     # Queries at one node share one search.
     starts = asking.select("node").distinct().join(nodes.select(F.col("id").alias("node"), "code"), "node").select(F.col("node").alias("query"), "node", "code")
-    found = stored(searched(starts, nodes, graph, settings, count, kind), "found")
+    entries = _longest(named, row["longest"], settings) if count else (np.zeros(0, np.int64), np.zeros((0, 1)))
+    found = stored(searched(starts, nodes, graph, settings, count, kind, entries), "found")
     vectors = classes.select("node", "vec")
     exact = (
         found.join(vectors.select(F.col("node").alias("query"), F.col("vec").alias("q")), "query").join(vectors, "node")

@@ -526,3 +526,12 @@ def test_nearest_neighbours_among_near_copies(spark):
     x = unit(rng.standard_normal((1000, 64)))
     x[:500] = unit(x[0] + 0.003 * rng.standard_normal((500, 64)))
     assert recall_of(spark, x.astype(np.float32), (F.col("id") < 500) & (F.col("id") % 10 == 0))[0] >= 0.9
+
+
+@pytest.mark.parametrize("long", [1, 40])
+def test_nearest_neighbours_beside_long_vectors(spark, long):
+    rng = np.random.default_rng(18)
+    x = unit(rng.standard_normal((1000, 32)) + 2 * rng.standard_normal((20, 32))[rng.integers(0, 20, 1000)])
+    x[:long] *= 100
+    recall, first = recall_of(spark, x.astype(np.float32), F.col("id") % 20 == 3)
+    assert recall >= 0.9 and first == 1
