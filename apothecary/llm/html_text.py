@@ -12,7 +12,10 @@ without those the whole page.
 
 Boilerplate is never a line: menus, headers and footers of the site, sidebars,
 notices, adverts, forms, scripts, styles, reader comments, hidden elements. It is
-told by element names, and by words of class, id and role.
+told by element names, and by whole names in class, id and role. Names are weighed when
+the page has been read: they do not count on the page itself, its main parts and
+headings, nor on an element with over half of the text, unless that is of comments
+beside other text.
 
 Character references are decoded; white space inside a block becomes one space; blocks
 are joined by a line feed. A null or empty page has an empty text.
@@ -23,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 from statistics import pstdev
 
@@ -48,7 +52,7 @@ ENDS_PARAGRAPH = BLOCK - {"body", "html"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIERS = frozenset("ul ol dl table div section article main body html aside nav footer header form".split())
 REGIONS = frozenset(("article", "main"))
-# Words of class, id or role that name boilerplate.
+# Words of which names in class, id or role are made that mean boilerplate.
 BOILERPLATE = frozenset(
     "ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer"
     " disqus footer gdpr menu modal nav navbar navigation newsletter notice notification pagination popup promo related reply replies"
@@ -56,35 +60,72 @@ BOILERPLATE = frozenset(
 )
 # Only outside an article: a page's header, not the article's.
 SITE_ONLY = frozenset(("header", "masthead"))
-_TOKEN = re.compile(r"[A-Za-z]+")
+# Words that such a name may have beside one of those.
+AFFIXES = frozenset(
+    "area bar block body bottom box btn button buttons container content form global group header icons inner item items left"
+    " links list main message overlay page primary right section secondary signup site slot thread top unit wrap wrapper".split()
+)
+COMMENTS = frozenset("comment comments disqus reply replies".split())
+NEVER = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
+_TOKEN = re.compile(r"[a-z]+|[0-9]+")
 RADIUS, SIGMA, SHARE, MOST = 2, 1.0, 0.5, 0.7
 
 
+@lru_cache(maxsize=10_000)
+def named(value: str, inside: bool, numbered: bool) -> frozenset[str]:
+    """Words of boilerplate in a list of names that are made of nothing but such words and what goes with them."""
+    telling = BOILERPLATE if inside else BOILERPLATE | SITE_ONLY
+    found: set[str] = set()
+    for name in value.lower().split():
+        words = set(_TOKEN.findall(name))
+        if words & telling and all(w in telling or w in AFFIXES or numbered and w.isdecimal() for w in words):
+            found |= words & telling
+    return frozenset(found)
+
+
 class Lines(HTMLParser):
-    """Blocks of a page: ``texts``, ``tags`` met in each, and ``paths`` of element numbers."""
+    """Blocks of a page: ``pieces`` of text, ``tags`` met in each, and ``paths`` of element numbers."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.texts: list[str] = []
+        # Pieces: text, and the numbers of elements around it that are boilerplate by name.
+        self.pieces: list[list[tuple[str, tuple[int, ...]]]] = []
         self.tags: list[int] = []
         self.paths: list[tuple[int, ...]] = []
         self.names: list[str] = []
-        # Open elements: name, number, whether boilerplate.
-        self.open: list[tuple[str, int, bool]] = []
-        self.held: list[str] = []
+        # Open elements: name, number, whether boilerplate, and as in pieces.
+        self.open: list[tuple[str, int, bool, tuple[int, ...]]] = []
+        self.held: list[tuple[str, tuple[int, ...]]] = []
         self.met = 0
+        # Elements that are boilerplate by name: whether of comments, and characters in them.
+        self.comments: dict[int, bool] = {}
+        self.sizes: dict[int, int] = {}
+        self.size = 0
 
     def end_line(self) -> None:
-        text = " ".join("".join(self.held).split())
-        if text:
-            self.texts.append(text)
+        if any(text and not text.isspace() for text, _ in self.held):
+            self.pieces.append(self.held)
             self.tags.append(self.met)
-            self.paths.append(tuple(number for _, number, _ in self.open))
+            self.paths.append(tuple(number for _, number, _, _ in self.open))
             self.met = 0
         self.held = []
 
+    def lines(self) -> tuple[list[str], list[int], list[tuple[int, ...]]]:
+        """Texts, tags and paths without boilerplate; its tags go to the line that follows."""
+        kept = {e for e, n in self.sizes.items() if 2 * n > self.size and (n == self.size or not self.comments[e])}
+        texts, tags, paths, met = [], [], [], 0
+        for pieces, here, path in zip(self.pieces, self.tags, self.paths):
+            met += here
+            text = " ".join("".join([t for t, named in pieces if kept.issuperset(named)]).split())
+            if text:
+                texts.append(text)
+                tags.append(met)
+                paths.append(path)
+                met = 0
+        return texts, tags, paths
+
     def close_to(self, at: int) -> None:
-        if any(name in BLOCK for name, _, _ in self.open[at:]):
+        if any(name in BLOCK for name, _, _, _ in self.open[at:]):
             self.end_line()
         del self.open[at:]
 
@@ -103,17 +144,22 @@ class Lines(HTMLParser):
         if tag in BLOCK:
             self.end_line()
         elif tag == "br":
-            self.held.append(" ")
+            self.held.append((" ", ()))
         if tag in VOID:
             return
-        inherited = bool(self.open) and self.open[-1][2]
-        self.open.append((tag, len(self.names), inherited or self.is_boilerplate(tag, attrs)))
+        inherited, named = self.open[-1][2:] if self.open else (False, ())
+        inside = any(name in REGIONS for name, _, _, _ in self.open)
+        words = self.words(attrs, inside) if not inherited and tag not in NEVER else frozenset()
+        if words:
+            number = len(self.names)
+            named = (*named, number)
+            self.comments[number] = bool(words & COMMENTS)
+        self.open.append((tag, len(self.names), inherited or self.is_boilerplate(tag, attrs, inside), named))
         self.names.append(tag)
 
-    def is_boilerplate(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def is_boilerplate(self, tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
         if tag in SKIPPED:
             return True
-        inside = any(name in REGIONS for name, _, _ in self.open)
         if tag == "header" and not inside:
             return True
         for name, value in attrs:
@@ -121,12 +167,12 @@ class Lines(HTMLParser):
                 return True
             if name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 return True
-            if name in ("class", "id", "role") and value and tag not in ("html", "body"):
-                words = {w.lower() for w in _TOKEN.findall(value)}
-                if words & BOILERPLATE or not inside and words & SITE_ONLY:
-                    return True
         return False
 
+    def words(self, attrs: list[tuple[str, str | None]], inside: bool) -> frozenset[str]:
+        found = [named(value, inside, name == "class") for name, value in attrs if name in ("class", "id", "role") and value]
+        return frozenset().union(*found)
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.open and self.open[-1][0] == tag:
@@ -140,8 +186,13 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if not (self.open and self.open[-1][2]):
-            self.held.append(data)
+        inherited, named = self.open[-1][2:] if self.open else (False, ())
+        if not inherited:
+            self.held.append((data, named))
+            size = len("".join(data.split()))
+            self.size += size
+            for element in named:
+                self.sizes[element] = self.sizes.get(element, 0) + size
 
 
 def smoothed(ratios: list[float]) -> list[float]:
@@ -158,25 +209,25 @@ def main_text(html: str) -> str:
     page.feed(html)
     page.close()
     page.end_line()
-    texts = page.texts
+    texts, tags, paths = page.lines()
     if not texts:
         return ""
-    ratios = smoothed([len(t) / max(n, 1) for t, n in zip(texts, page.tags)])
+    ratios = smoothed([len(t) / max(n, 1) for t, n in zip(texts, tags)])
     threshold = SHARE * pstdev(ratios)
     votes: dict[int, int] = {}
     total = 0
-    for text, ratio, path in zip(texts, ratios, page.paths):
+    for text, ratio, path in zip(texts, ratios, paths):
         if ratio > threshold:
             total += len(text)
             for element in path:
                 votes[element] = votes.get(element, 0) + len(text)
-    regions = {e for path in page.paths for e in path if page.names[e] in REGIONS}
+    regions = {e for path in paths for e in path if page.names[e] in REGIONS}
     # Numbers grow with depth along a path, and at most one element of a depth has most of the votes.
     most = [e for e, v in votes.items() if v >= MOST * total and page.names[e] in BARRIERS]
     chosen: set[int] = set()
     if most:
         deepest = max(most)
-        around = next((p[:p.index(deepest) + 1] for p in page.paths if deepest in p), ())
+        around = next((p[:p.index(deepest) + 1] for p in paths if deepest in p), ())
         outer = [e for e in around if e in regions]
         chosen = {outer[0] if outer else deepest}
         if not outer and any(e in votes for e in regions):
@@ -186,7 +237,7 @@ def main_text(html: str) -> str:
         chosen = regions
     if not chosen:
         return "\n".join(texts)
-    return "\n".join(t for t, path in zip(texts, page.paths) if chosen.intersection(path))
+    return "\n".join(t for t, path in zip(texts, paths) if chosen.intersection(path))
 
 
 def extracted(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

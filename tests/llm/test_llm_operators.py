@@ -378,6 +378,20 @@ def test_long_pages():
     assert text.count("\n") == 4999
 
 
+BODY = "<h2 id='social-impact'>Impact</h2><section id='related-work'><p>Work of others, told here.</p></section><p id='notice-1'>A line of the text.</p>"
+KEPT = "Impact\nWork of others, told here.\nA line of the text."
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='site no-sidebar'>{BODY}</div>", f"<main class='content has-sidebar'>{BODY}</main>", f"<article class='post comments-open'>{BODY}</article>",
+    f"<main class='sidebar'>{BODY}</main>", f"<div class='widget'>{BODY}<div class='ad'>buy</div></div>", f"<article>{BODY}<div class='share-buttons'>send</div></article>",
+    f"<div class='layout left-sidebar'><div class='comments'>first!</div>{BODY}</div>", f"<div>{BODY}</div><div class='comment-list'><p>{'long talk ' * 50}</p></div>",
+    f"<div class='ad-2'>buy</div><div>{BODY}<span class='share'>send</span></div>",
+])
+def test_names_of_boilerplate_take_no_text_with_them(page):
+    assert html_text.main_text(page) == KEPT
+
+
 # -- 8 repeated passages ----------------------------------------------------
 
 
