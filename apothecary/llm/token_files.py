@@ -1,7 +1,7 @@
 """Token ids of a corpus in binary files, in ascending order of doc_id.
 
-Texts are encoded with the tokenizers library, without special tokens (their strings
-are ordinary text), and each ends with an end id. Documents are dealt out by range of
+Texts are encoded as the tokenizers library does with ``add_special_tokens=False``: none
+are added, and the string of one of the file's added tokens is that token. Each ends with an end id. Documents are dealt out by range of
 doc_id; each task writes their ids as segments of the range coder's format, a few
 million ids each. A document lies in one segment, whose directory has its id and
 length. The files are a table of segments in the shared folder, so a lost executor
@@ -49,6 +49,8 @@ class Library:
         tokenizer = Tokenizer.from_file(path)
         self.cut = tokenizer.pre_tokenizer.pre_tokenize_str
         self.model = tokenizer.model
+        self.whole = tokenizer.encode
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         # The library's letter for each byte, for words that need no cut.
         self.letter = {b: self.cut(chr(b))[0][0] for b in range(128)}
         self.known: dict[str, bytes] = {}
@@ -71,9 +73,25 @@ class Library:
         return out
 
 
+class Texts:
+    """Whole texts encoded by a tokenizer file: those with an added token by the library, others word by word."""
+
+    def __init__(self, path: str):
+        self.library = Library(path)
+        self.words = Words(self.library.encode)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        added = [any(a in t for a in self.library.added) for t in texts]
+        plain = iter(self.words.encode([t for t, a in zip(texts, added) if not a]))
+        return [
+            np.array(self.library.whole(t, add_special_tokens=False).ids, "<u4").tobytes() if a else next(plain)
+            for t, a in zip(texts, added)
+        ]
+
+
 def _written(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(Library(path).encode)
+        words = Texts(path)
         part, segment = TaskContext.get().partitionId(), 0
         end = np.array([END], "<u4").tobytes()
         held: list[bytes] = []

@@ -479,6 +479,18 @@ def test_token_files(spark, monkeypatch):
     assert sorted(r["start"] for r in odd) == [0, 1, 3]
 
 
+def test_token_files_of_texts_with_added_tokens(spark):
+    tokenizer = Tokenizer.from_file(JSON)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "plain words", " x <|endoftext|> <|endoftext|>y z", "<|endoftext", None, "a b"]
+    rows = {r["doc_id"]: r for r in token_files.read(token_files.write(docs_of(spark, texts), JSON)).collect()}
+    at = 0
+    for i, text in enumerate(texts):
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [token_files.END], "<u4")
+        assert (rows[i]["start"], rows[i]["n_tokens"], rows[i]["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert rows[0]["n_tokens"] == 4
+
+
 # -- 10 nearest neighbours --------------------------------------------------
 
 
