@@ -59,6 +59,8 @@ def test_stages_by_brute_force(spark):
         assert r["decoded_sha256"] == hashlib.sha256(after[r["doc_id"]].encode()).hexdigest()
     for stage in (clean, distinct, cut, mix):
         assert stage.columns == docs.columns
+    for cached in (docs, clean, distinct, cut, mix):
+        cached.unpersist()
 
 
 def test_run_applies_the_stages(spark):
