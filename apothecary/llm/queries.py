@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apothecary.llm import bottom_k, bpe, chosen_path, html_text, hypervectors, mixing, nn_descent, repeats, token_files, toxicity
+from apothecary.llm import bottom_k, bpe, chosen_path, html_text, hypervectors, mixing, nn_descent, repeats, secrets, token_files, toxicity
 from apothecary.llm.shared import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,11 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(token_files.write(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op12_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(documents(spark, folder))
+
+
+ORACLES["op12_secrets"] = secrets.ORACLE
