@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apothecary.llm import bottom_k, bpe, chosen_path, html_text, hypervectors, mixing, nn_descent, repair, repeats, secrets, token_files, toxicity
+from apothecary.llm import bottom_k, bpe, chosen_path, html_text, hypervectors, mixing, nn_descent, repair, repeats, secrets, token_files, toxicity, trie
 from apothecary.llm.shared import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,11 @@ ORACLES["op12_secrets"] = secrets.ORACLE
 @query
 def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repaired(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.trie(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+ORACLES["op13_prefix_trie"] = trie.ORACLE
