@@ -286,8 +286,8 @@ def trie(conversations: DataFrame, piece: int = PIECE, block: int = BLOCK) -> Da
 
 
 # CRC-32 of a text of ASCII, a byte and its eight bits at a time; the last step complements it.
-_CRC_SQL = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(c::VARCHAR, ''), x -> [ord(x), -1, -1, -1, -1, -1, -1, -1, -1]))),
-  (a, x) -> CASE WHEN x >= 0 THEN xor(a::BIGINT, x::BIGINT) ELSE xor(a::BIGINT >> 1, 3988292384 * (a::BIGINT & 1)) END), 4294967295)"""
+_CRC_SQL = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: [ord(x), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a::BIGINT, x::BIGINT) ELSE xor(a::BIGINT >> 1, 3988292384 * (a::BIGINT & 1)) END), 4294967295)"""
 ORACLE = f"""
 WITH turns AS MATERIALIZED (
   SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
