@@ -115,7 +115,8 @@ def nodes(path: DataFrame, convs: DataFrame) -> DataFrame:
 def rolled_up(found: DataFrame, path: DataFrame, piece: int = PIECE) -> DataFrame:
     """(depth, n1, n2, n_leaves, saved_tokens): sums over each node's subtree."""
     zero = F.lit(0).cast("long")
-    forest = found.select(*NODE, "p1", "p2", "conv", "weight", "leaves", "saved", *[zero.alias(c) for c in (*TOP, "more_leaves", "more_saved")])
+    # Written, as a join on columns that are known to be 0 would become a nested loop.
+    forest = stored(found.select(*NODE, "p1", "p2", "conv", "weight", "leaves", "saved", *[zero.alias(c) for c in (*TOP, "more_leaves", "more_saved")]), "forest")
     done, small = [], []
     while True:
         whole = forest.groupBy(*TOP).agg(F.max("weight").alias("whole"))
@@ -303,7 +304,7 @@ prefix AS MATERIALIZED (
   UNION ALL SELECT c, 0, 0, '' FROM convs),
 nodes AS MATERIALIZED (SELECT depth, node, min(c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM prefix GROUP BY ALL),
 up AS MATERIALIZED (
-  SELECT n.depth AS d, n.node AS w, (n_convs - 1) * bytes AS saved, p.depth, p.node FROM nodes n JOIN prefix p ON p.c = n.conv_id AND p.depth <= n.depth),
+  SELECT n.depth AS d, n.node AS w, (n.n_convs - 1) * n.bytes AS saved, p.depth, p.node FROM nodes n JOIN prefix p ON p.c = n.conv_id AND p.depth <= n.depth),
 children AS (SELECT depth, node, count(*) AS n FROM up WHERE d = depth + 1 GROUP BY ALL),
 sums AS (
   SELECT up.depth, up.node, count(*) FILTER (k.n IS NULL) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
