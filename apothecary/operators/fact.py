@@ -19,6 +19,7 @@ from apothecary.functions.scalars import (
     month_key,
     safe_ratio,
 )
+from apothecary.operators.latest import latest_state
 from apothecary.params import BANDS, ReportParams
 from apothecary.schemas import CLASS, GEOGRAPHY, MONEY, MONEY_TYPE, VOLUMES
 
@@ -135,23 +136,17 @@ def attributes_at_year_end(history: DataFrame, years: DataFrame, *attributes: st
     """The attributes each contractor held on 31 March of every year in ``years``.
 
     ``history`` has CONTRACTOR_ID, EFFECTIVE_DATE, SEQUENCE (order within a day)
-    and the attributes, all of them in every row; ``years`` has CONTRACTOR_ID and FINANCIAL_YEAR. The last day
-    of change inside each financial year is found first: a date, which a hash
-    aggregate holds, with partial results before the shuffle. Only the changes of
-    those days are put in order, and only their last, at most one per contractor
-    and year, reach the window that carries a state into years without a change.
+    and the attributes, all of them in every row; ``years`` has CONTRACTOR_ID and
+    FINANCIAL_YEAR. The last change inside each financial year is an aggregate with
+    results merged before the shuffle, so neither a contractor with a third of all
+    changes nor a day with most of them is gathered anywhere. Only these last
+    changes, at most one per contractor and year, reach the window that carries a
+    state into years without a change.
     """
     start = financial_year_start(F.col("EFFECTIVE_DATE"))
     changes = history.where(F.col("EFFECTIVE_DATE").isNotNull()).withColumn("START", start)
-    days = changes.groupBy("CONTRACTOR_ID", "START").agg(
-        F.max("EFFECTIVE_DATE").alias("EFFECTIVE_DATE")
-    )
-    last = changes.join(days, ["CONTRACTOR_ID", "START", "EFFECTIVE_DATE"])
-    state = F.struct("SEQUENCE", F.struct(*attributes).alias("state"))
-    states = last.groupBy("CONTRACTOR_ID", "START").agg(
-        F.array_max(F.collect_list(state))["state"].alias("state")
-    )
-    states = states.select(
+    last = latest_state(changes, ["CONTRACTOR_ID", "START"], ["EFFECTIVE_DATE", "SEQUENCE"], attributes)
+    states = last.select(
         "CONTRACTOR_ID",
         financial_year_label(F.col("START")).alias("FINANCIAL_YEAR"),
         "state",
@@ -163,7 +158,7 @@ def attributes_at_year_end(history: DataFrame, years: DataFrame, *attributes: st
         states.unionByName(asked, allowMissingColumns=True)
         .groupBy("CONTRACTOR_ID", "FINANCIAL_YEAR")
         .agg(
-            F.array_max(F.collect_list("state")).alias("state"),
+            F.max("state").alias("state"),
             F.bool_or("asked").alias("asked"),
         )
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from apothecary.functions.scalars import safe_ratio
+from apothecary.operators.search import last_as_high
 
 
 def _series(keys: Sequence[str], order: str) -> WindowSpec:
@@ -57,18 +58,17 @@ def highest_since(
 ) -> DataFrame:
     """The last earlier period with a value as high, as ``name``; NULL when there is none.
 
-    Rows of a series are joined with its earlier, higher ones, and the latest of
-    these is an aggregate; no row carries the rows before it.
+    Rows come as often as they were, whatever else is alike in them; rows without
+    period or value get NULL and count for no other. The search is
+    ``operators.search``: no row is compared with the rows before it one by one.
     """
-    earlier = df.select(
-        *[F.col(k).alias(k + "_e") for k in keys],
-        F.col(order).alias("_at"),
-        F.col(x).alias("_x"),
-    )
-    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(earlier[k + "_e"]) for k in keys])
-    higher = same & (earlier["_at"] < df[order]) & (earlier["_x"] >= df[x])
-    found = df.join(earlier, higher, "left").groupBy(*df.columns)
-    return found.agg(F.max("_at").alias(name))
+    asked = [F.col(k) for k in (*keys, order, x)]
+    wanted = df.select(*asked).where(F.col(order).isNotNull() & F.col(x).isNotNull()).distinct()
+    found = last_as_high(wanted, x, keys, order, name)
+    renamed = {c: f"_{c}_s" for c in (*keys, order, x)}
+    found = found.select(*[F.col(c).alias(new) for c, new in renamed.items()], name)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(new)) for c, new in renamed.items()])
+    return df.join(found, same, "left").select(*[df[c] for c in df.columns], name)
 
 
 def rank_from_highest(x: Column, keys: Sequence[str]) -> Column:

@@ -49,6 +49,13 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/apothecary/{spark.sparkContext.applicationId}/{name}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of its own in the shared folder: later plans read it, none repeats the work."""
+    path = f"{run_folder(df.sparkSession, 'steps')}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def input_version(spark: SparkSession, folder: str, tables: Sequence[str]) -> str:
     """Sizes and times of the files of some tables: other text once any of them changes."""
     context = spark.sparkContext
@@ -95,8 +102,9 @@ def written_once(
 def forget_written(spark: SparkSession) -> None:
     """Delete the tables that this application wrote; nothing may read them any more."""
     application = spark.sparkContext.applicationId
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark, "facts"))
     with _writing:
         for key in [k for k in _written if k[0] == application]:
             del _written[key]
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        for name in ("facts", "steps"):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark, name))
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
