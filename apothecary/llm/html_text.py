@@ -12,10 +12,14 @@ without those the whole page.
 
 Boilerplate is never a line: menus, headers and footers of the site, sidebars,
 notices, adverts, forms, scripts, styles, reader comments, hidden elements. It is
-told by element names, and by whole names in class, id and role. Names are weighed when
+told by element names, and by whole names in class, id and role. Names, and the elements
+that may also wrap a page (a form, a button, an aside), are weighed when
 the page has been read: they do not count on the page itself, its main parts and
 headings, nor on an element with over half of the text, unless that is of comments
-beside other text.
+beside other text. A body, or anything that has no place in a head, ends a head left open.
+
+Elements are numbered, each knows the one around it, and places of open ones are kept by
+name; time and memory grow with the page, also where nothing is ever closed.
 
 Character references are decoded; white space inside a block becomes one space; blocks
 are joined by a line feed. A null or empty page has an empty text.
@@ -45,9 +49,10 @@ BLOCK = frozenset(
     " th thead title tr ul".split()
 )
 SKIPPED = frozenset(
-    "aside button canvas dialog footer form head iframe input menu nav noscript object script select style svg template"
-    " textarea title".split()
+    "canvas dialog footer head iframe input menu nav noscript object script select style svg template textarea title".split()
 )
+WEIGHED = frozenset(("aside", "button", "form"))
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 ENDS_PARAGRAPH = BLOCK - {"body", "html"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIERS = frozenset("ul ol dl table div section article main body html aside nav footer header form".split())
@@ -84,20 +89,26 @@ def named(value: str, inside: bool, numbered: bool) -> frozenset[str]:
 
 
 class Lines(HTMLParser):
-    """Blocks of a page: ``pieces`` of text, ``tags`` met in each, and ``paths`` of element numbers."""
+    """Blocks of a page: ``pieces`` of text, ``tags`` met in each, and the innermost element of each."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        # Pieces: text, and the numbers of elements around it that are boilerplate by name.
-        self.pieces: list[list[tuple[str, tuple[int, ...]]]] = []
+        # Pieces: text, and the innermost element around it that is boilerplate by name, or -1.
+        self.pieces: list[list[tuple[str, int]]] = []
         self.tags: list[int] = []
-        self.paths: list[tuple[int, ...]] = []
+        self.inner: list[int] = []
+        # Of each element its name and the element around it, or -1.
         self.names: list[str] = []
+        self.parents: list[int] = []
         # Open elements: name, number, whether boilerplate, and as in pieces.
-        self.open: list[tuple[str, int, bool, tuple[int, ...]]] = []
-        self.held: list[tuple[str, tuple[int, ...]]] = []
+        self.open: list[tuple[str, int, bool, int]] = []
+        # Places of the open elements of a name, and of those that paragraphs and items don't reach over.
+        self.places: dict[str, list[int]] = {}
+        self.barriers: list[int] = []
+        self.held: list[tuple[str, int]] = []
         self.met = 0
-        # Elements that are boilerplate by name: whether of comments, and characters in them.
+        # Elements that are boilerplate by name: the one around it, whether of comments, and characters right in them.
+        self.around: dict[int, int] = {}
         self.comments: dict[int, bool] = {}
         self.sizes: dict[int, int] = {}
         self.size = 0
@@ -106,56 +117,76 @@ class Lines(HTMLParser):
         if any(text and not text.isspace() for text, _ in self.held):
             self.pieces.append(self.held)
             self.tags.append(self.met)
-            self.paths.append(tuple(number for _, number, _, _ in self.open))
+            self.inner.append(self.open[-1][1] if self.open else -1)
             self.met = 0
         self.held = []
 
-    def lines(self) -> tuple[list[str], list[int], list[tuple[int, ...]]]:
-        """Texts, tags and paths without boilerplate; its tags go to the line that follows."""
-        kept = {e for e, n in self.sizes.items() if 2 * n > self.size and (n == self.size or not self.comments[e])}
-        texts, tags, paths, met = [], [], [], 0
-        for pieces, here, path in zip(self.pieces, self.tags, self.paths):
+    def lines(self) -> tuple[list[str], list[int], list[int]]:
+        """Texts, tags and innermost elements without boilerplate; its tags go to the line that follows."""
+        sizes = dict(self.sizes)
+        for e in reversed(self.around):
+            if self.around[e] >= 0:
+                sizes[self.around[e]] = sizes.get(self.around[e], 0) + sizes.get(e, 0)
+        kept = {-1}
+        for e, outer in self.around.items():
+            n = sizes.get(e, 0)
+            if outer in kept and 2 * n > self.size and (n == self.size or not self.comments[e]):
+                kept.add(e)
+        texts, tags, inner, met = [], [], [], 0
+        for pieces, here, element in zip(self.pieces, self.tags, self.inner):
             met += here
-            text = " ".join("".join([t for t, named in pieces if kept.issuperset(named)]).split())
+            text = " ".join("".join([t for t, named in pieces if named in kept]).split())
             if text:
                 texts.append(text)
                 tags.append(met)
-                paths.append(path)
+                inner.append(element)
                 met = 0
-        return texts, tags, paths
+        return texts, tags, inner
 
     def close_to(self, at: int) -> None:
         if any(name in BLOCK for name, _, _, _ in self.open[at:]):
             self.end_line()
+        for name, _, _, _ in self.open[at:]:
+            self.places[name].pop()
+        while self.barriers and self.barriers[-1] >= at:
+            self.barriers.pop()
         del self.open[at:]
 
+    def last(self, *names: str) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def end_head(self, tag: str | None) -> None:
+        """A body ends a head wherever it comes, other content where it stands right in the head."""
+        at = self.last("head")
+        if at >= 0 and (tag == "body" or at == len(self.open) - 1 and tag not in IN_HEAD):
+            self.close_to(at)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.met += 1
-        wanted = {"p"} if tag in ENDS_PARAGRAPH else set()
-        wanted |= SIBLINGS.get(tag, set())
-        if wanted:
-            for at in range(len(self.open) - 1, -1, -1):
-                name = self.open[at][0]
-                if name in wanted:
-                    self.close_to(at)
-                    break
-                if name in BARRIERS:
-                    break
+        self.end_head(tag)
+        wanted = self.last(*(("p",) if tag in ENDS_PARAGRAPH else ()), *SIBLINGS.get(tag, ()))
+        if wanted > (self.barriers[-1] if self.barriers else -1):
+            self.close_to(wanted)
         if tag in BLOCK:
             self.end_line()
         elif tag == "br":
-            self.held.append((" ", ()))
+            self.held.append((" ", -1))
         if tag in VOID:
             return
-        inherited, named = self.open[-1][2:] if self.open else (False, ())
-        inside = any(name in REGIONS for name, _, _, _ in self.open)
+        parent, inherited, named = self.open[-1][1:] if self.open else (-1, False, -1)
+        inside = self.last(*REGIONS) >= 0
         words = self.words(attrs, inside) if not inherited and tag not in NEVER else frozenset()
-        if words:
-            number = len(self.names)
-            named = (*named, number)
+        number = len(self.names)
+        if words or tag in WEIGHED and not inherited:
+            self.around[number] = named
+            named = number
             self.comments[number] = bool(words & COMMENTS)
-        self.open.append((tag, len(self.names), inherited or self.is_boilerplate(tag, attrs, inside), named))
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in BARRIERS:
+            self.barriers.append(len(self.open))
+        self.open.append((tag, number, inherited or self.is_boilerplate(tag, attrs, inside), named))
         self.names.append(tag)
+        self.parents.append(parent)
 
     def is_boilerplate(self, tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
         if tag in SKIPPED:
@@ -180,19 +211,20 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.met += 1
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                self.close_to(at)
-                return
+        at = self.last(tag)
+        if at >= 0:
+            self.close_to(at)
 
     def handle_data(self, data: str) -> None:
-        inherited, named = self.open[-1][2:] if self.open else (False, ())
+        if not data.isspace():
+            self.end_head(None)
+        _, inherited, named = self.open[-1][1:] if self.open else (-1, False, -1)
         if not inherited:
             self.held.append((data, named))
             size = len("".join(data.split()))
             self.size += size
-            for element in named:
-                self.sizes[element] = self.sizes.get(element, 0) + size
+            if named >= 0:
+                self.sizes[named] = self.sizes.get(named, 0) + size
 
 
 def smoothed(ratios: list[float]) -> list[float]:
@@ -204,40 +236,57 @@ def smoothed(ratios: list[float]) -> list[float]:
     return out
 
 
-def main_text(html: str) -> str:
-    page = Lines()
-    page.feed(html)
-    page.close()
-    page.end_line()
-    texts, tags, paths = page.lines()
-    if not texts:
-        return ""
+def summed_up(parents: list[int], own: list[int]) -> list[int]:
+    """Sums over each element and those in it; elements have smaller numbers than what they hold."""
+    sums = list(own)
+    for e in range(len(sums) - 1, 0, -1):
+        if parents[e] >= 0:
+            sums[parents[e]] += sums[e]
+    return sums
+
+
+def elected(texts: list[str], tags: list[int], inner: list[int], names: list[str], parents: list[int]) -> list[int]:
+    """The lines of the region that the lines above the threshold vote for."""
     ratios = smoothed([len(t) / max(n, 1) for t, n in zip(texts, tags)])
     threshold = SHARE * pstdev(ratios)
-    votes: dict[int, int] = {}
-    total = 0
-    for text, ratio, path in zip(texts, ratios, paths):
-        if ratio > threshold:
-            total += len(text)
-            for element in path:
-                votes[element] = votes.get(element, 0) + len(text)
-    regions = {e for path in paths for e in path if page.names[e] in REGIONS}
+    voted, lines, total = [0] * len(names), [0] * len(names), 0
+    for text, ratio, element in zip(texts, ratios, inner):
+        if element >= 0:
+            lines[element] += 1
+            voted[element] += len(text) * (ratio > threshold)
+        total += len(text) * (ratio > threshold)
+    votes, lines = summed_up(parents, voted), summed_up(parents, lines)
+    regions = {e for e, name in enumerate(names) if name in REGIONS and lines[e]}
     # Numbers grow with depth along a path, and at most one element of a depth has most of the votes.
-    most = [e for e, v in votes.items() if v >= MOST * total and page.names[e] in BARRIERS]
+    most = [e for e, v in enumerate(votes) if v and v >= MOST * total and names[e] in BARRIERS]
     chosen: set[int] = set()
     if most:
-        deepest = max(most)
-        around = next((p[:p.index(deepest) + 1] for p in paths if deepest in p), ())
-        outer = [e for e in around if e in regions]
-        chosen = {outer[0] if outer else deepest}
-        if not outer and any(e in votes for e in regions):
-            # Several articles share the votes.
-            chosen = {e for e in regions if e in votes}
+        outer, at, around = max(most), max(most), False
+        while at >= 0:
+            if at in regions:
+                outer, around = at, True
+            at = parents[at]
+        # Several articles may share the votes.
+        chosen = {outer} if around else {e for e in regions if votes[e]} or {outer}
     elif regions:
         chosen = regions
     if not chosen:
-        return "\n".join(texts)
-    return "\n".join(t for t, path in zip(texts, paths) if chosen.intersection(path))
+        return list(range(len(texts)))
+    within = [False] * len(names)
+    for e, parent in enumerate(parents):
+        within[e] = e in chosen or parent >= 0 and within[parent]
+    return [i for i, element in enumerate(inner) if element >= 0 and within[element]]
+
+
+def main_text(html: str) -> str:
+    page = Lines()
+    page.feed(html)
+    page.close()
+    page.end_line()
+    texts, tags, inner = page.lines()
+    if not texts:
+        return ""
+    return "\n".join(texts[i] for i in elected(texts, tags, inner, page.names, page.parents))
 
 
 def extracted(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

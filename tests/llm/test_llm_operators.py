@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -392,6 +393,67 @@ def test_names_of_boilerplate_take_no_text_with_them(page):
     assert html_text.main_text(page) == KEPT
 
 
+@pytest.mark.parametrize("page", [
+    f"<html><body><form action='x'><input name='s'>{BODY}<button>Go</button></form></body></html>",
+    f"<body><form><div class='menu'>a b</div><div>{BODY}</div><aside>c</aside></form>",
+    f"<html><head><title>t</title><body>{BODY}</body></html>", f"<html><head><title>t</title><script>s</script>{BODY}</html>",
+    f"<head><meta charset='x'><title>t<body>{BODY}", f"<form><p>Search here</p></form><div>{BODY}</div>",
+])
+def test_pages_in_a_form_or_without_an_end_of_the_head(page):
+    assert html_text.main_text(page) == KEPT
+
+
+@pytest.mark.parametrize("bit", ["<b><div>word word</div>", "<div class=ad><i>word word</div>", "<p><b>word word<p>", "<li><b>word word", "</i><b><table><tr><td>word word"])
+def test_tags_that_nothing_closes(bit):
+    """Time grows with the page: 2 MB within seconds."""
+    took = []
+    for n in (100_000, 2_000_000):
+        began = time.process_time()
+        html_text.main_text("<body><main>" + bit * (n // len(bit)))
+        took.append(time.process_time() - began)
+    assert took[1] < 60 * max(took[0], 0.05)
+
+
+def test_election_by_plain_sums():
+    """Ratios, smoothing, threshold and votes once more, with whole paths and no shared code."""
+    rng = random.Random(7)
+    for _ in range(200):
+        parents, texts, tags, inner = [-1], [], [], []
+        for _ in range(rng.randrange(1, 12)):
+            parents.append(rng.randrange(len(parents)))
+        for _ in range(rng.randrange(1, 15)):
+            texts.append("x" * rng.choice([3, 20, 200]))
+            tags.append(rng.randrange(0, 6))
+            inner.append(rng.randrange(len(parents)))
+        names = [rng.choice(["div", "main", "article", "b", "section"]) for _ in parents]
+
+        def path(e):
+            return [] if e < 0 else [*path(parents[e]), e]
+
+        ratios = [len(t) / max(n, 1) for t, n in zip(texts, tags)]
+        weight = [0.1353352832366127, 0.6065306597126334, 1, 0.6065306597126334, 0.1353352832366127]
+        smooth = []
+        for i in range(len(ratios)):
+            near = [(ratios[i + d - 2], weight[d]) for d in range(5) if 0 <= i + d - 2 < len(ratios)]
+            smooth.append(sum(r * w for r, w in near) / sum(w for _, w in near))
+        mean = sum(smooth) / len(smooth)
+        limit = 0.5 * (sum((r - mean) ** 2 for r in smooth) / len(smooth)) ** 0.5
+        above = [i for i, r in enumerate(smooth) if r > limit]
+        total = sum(len(texts[i]) for i in above)
+        votes = {e: sum(len(texts[i]) for i in above if e in path(inner[i])) for e in range(len(parents))}
+        regions = {e for e in votes if names[e] in ("main", "article") and any(e in path(i) for i in inner)}
+        most = [e for e, v in votes.items() if v and v >= 0.7 * total and names[e] in ("div", "main", "article", "section")]
+        chosen = set()
+        if most:
+            around = [e for e in path(max(most)) if e in regions]
+            chosen = {around[0]} if around else {e for e in regions if votes[e]} or {max(most)}
+        elif regions:
+            chosen = regions
+        wanted = [i for i in range(len(texts)) if not chosen or chosen & set(path(inner[i]))]
+        if abs(min((abs(r - limit) for r in smooth), default=1)) > 1e-9:
+            assert html_text.elected(texts, tags, inner, names, parents) == wanted
+
+
 # -- 8 repeated passages ----------------------------------------------------
 
 
