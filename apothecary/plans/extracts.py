@@ -7,11 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apothecary.operators.median import exact_median
+from apothecary.operators.median import exact_median, medians_of_counts, value_counts
 from apothecary.operators.prep import prepare
 from apothecary.params import ReportParams
 from apothecary.plans.measures import MEASURES, MEDIAN, MONTHLY_OVERRIDES
 from apothecary.schemas import CLASS, GEOGRAPHY, MONEY_TOTAL_TYPE
+from apothecary.session import written
 
 NATIONAL = ("FINANCIAL_YEAR", CLASS)
 MONTHLY = ("YEAR_MONTH", CLASS)
@@ -75,14 +76,21 @@ def sub_national_extract(fact: DataFrame, params: ReportParams) -> DataFrame:
     return _ordered(extract(fact, SUB_NATIONAL, params), "financial_year")
 
 
-def both_grains(fact: DataFrame, params: ReportParams) -> DataFrame:
+def median_values(fact: DataFrame) -> DataFrame:
+    """The median's column by class and area, as counts to be written beside the fact."""
+    return value_counts(fact, list(SUB_NATIONAL), MEDIAN.source)
+
+
+def both_grains(fact: DataFrame, params: ReportParams, values: DataFrame | None = None) -> DataFrame:
     """National and sub-national measures from one pass over the fact.
 
     Sums of the sub-national rows are the national sums, so the grouping sets
-    expand the few aggregated rows and not the fact. The median is no such sum:
-    it reads the fact's keys and its one column three more times, for both
-    grains together, with a row for each grain.
+    expand the few aggregated rows and not the fact. The median is no such sum;
+    it comes from ``values``, the table of ``median_values`` that was written beside
+    the fact. Without one, the counts are made and written first.
     """
+    if values is None:
+        values = written(median_values(fact), "values")
     names = [m.name for m in MEASURES if m != MEDIAN]
     money = {m.name for m in MEASURES if m.is_money}
     keys = [k.lower() for k in SUB_NATIONAL]
@@ -97,22 +105,8 @@ def both_grains(fact: DataFrame, params: ReportParams) -> DataFrame:
         *sums,
     )
 
-    by_grain = fact.select(
-        *SUB_NATIONAL, MEDIAN.source, F.explode(F.array(*map(F.lit, GRAINS))).alias("grain_m")
-    )
-    at_both = by_grain.select(
-        "grain_m",
-        *[
-            (F.col(k) if k in NATIONAL else F.when(F.col("grain_m") == GRAINS[1], F.col(k))).alias(
-                k.lower() + "_m"
-            )
-            for k in SUB_NATIONAL
-        ],
-        MEDIAN.source,
-    )
-    both = exact_median(
-        at_both, at_both.columns[:-1], MEDIAN.source, MEDIAN.name, params.median_bracket_accuracy
-    )
+    both = medians_of_counts(values, dict(zip(GRAINS, (list(NATIONAL), list(SUB_NATIONAL)))), list(SUB_NATIONAL), MEDIAN.name)
+    both = both.select(F.col("grain").alias("grain_m"), *[F.col(k).alias(k.lower() + "_m") for k in SUB_NATIONAL], MEDIAN.name)
     same = grouped["grain"] == both["grain_m"]
     for k in keys:
         same = same & grouped[k].eqNullSafe(both[k + "_m"])

@@ -97,15 +97,17 @@ class Publication:
     appeals_history: DataFrame
     appeals_current: DataFrame
     params: ReportParams
+    # Counts written beside the year fact; without them they are made from it.
+    year_values: DataFrame | None = None
 
     def extracts(self) -> Kept:
         """Full extracts, computed once and kept for all tables and figures.
 
-        The year fact's sums are read once for both of its grains, its median's
-        column three times more. What is kept is a row per period, class and
+        The year fact is read once for both of its grains; its median comes from
+        the counts beside it. What is kept is a row per period, class and
         area, however large the facts.
         """
-        both = both_grains(self.year_fact, self.params).persist()
+        both = both_grains(self.year_fact, self.params, self.year_values).persist()
         months = extract(self.month_fact, MONTHLY, self.params).persist()
         # Computed before several threads read them, so that none computes them again.
         for kept in (both, months):

@@ -64,6 +64,12 @@ ACTIVITY = T.StructType(
     + [T.StructField(n, T.LongType()) for n in MONEY]
 )
 
+# How often the median's column has each value, by class and area; written beside the year fact.
+YEAR_VALUES = T.StructType(
+    _text("FINANCIAL_YEAR", CLASS, *GEOGRAPHY)
+    + [T.StructField("bucket", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("rows", T.LongType())]
+)
+
 # Contractors with the attributes they hold.
 CONTRACTORS = T.StructType(
     [T.StructField("CONTRACTOR_ID", T.LongType(), False)]

@@ -24,6 +24,7 @@ from apothecary.schemas import (
     MONTH_FACT,
     VOLUMES,
     YEAR_FACT,
+    YEAR_VALUES,
     require,
 )
 from apothecary.session import configure, input_version, written_once
@@ -176,6 +177,22 @@ class Sample:
             self._version(),
         )
 
+    def year_values(self) -> DataFrame:
+        """Counts of the median's values, written once beside the years."""
+        from apothecary.plans.extracts import median_values
+
+        return written_once(
+            self.spark,
+            "contractor_year_values",
+            self.folder,
+            lambda: require(median_values(self.year_fact()), YEAR_VALUES),
+            YEAR_VALUES,
+            "FINANCIAL_YEAR",
+            self.params,
+            self._version(),
+            sized=False,
+        )
+
     # -- reference data -----------------------------------------------------
 
     def flu_reference(self) -> DataFrame:

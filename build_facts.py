@@ -3,7 +3,8 @@
     spark-submit build_facts.py --claims … --contractors … [--history …] --out …
 
 ``publish.py`` reads what this writes: ``out/years`` and ``out/months``, each
-partitioned by financial year. ``out/sums`` has the claims added up by month; it is
+partitioned by financial year, and ``out/values``, the counts from which medians of the
+years are taken. ``out/sums`` has the claims added up by month; it is
 written first, so that claims are read once.
 """
 
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from apothecary.params import ReportParams
 from apothecary.plans import facts
-from apothecary.schemas import ACTIVITY, ATTRIBUTE_HISTORY, CLAIMS, CONTRACTORS
+from apothecary.plans.extracts import median_values
+from apothecary.schemas import ACTIVITY, ATTRIBUTE_HISTORY, CLAIMS, CONTRACTORS, YEAR_FACT
 from apothecary.session import configure
 from apothecary.sources.warehouse import read_fact
 
@@ -44,6 +46,7 @@ def run(spark: SparkSession, words: Sequence[str]) -> None:
         held = facts.held_by_year(contractors, read_fact(spark, args.history, ATTRIBUTE_HISTORY), months)
     _write(facts.year_fact(months, held, params), f"{args.out}/years")
     _write(facts.month_fact(months, held, params), f"{args.out}/months")
+    _write(median_values(read_fact(spark, f"{args.out}/years", YEAR_FACT)), f"{args.out}/values")
 
 
 def _write(df: DataFrame, path: str) -> None:

@@ -22,7 +22,7 @@ query(
     "agg14_both_grains",
     "SELECT 'sub_national' AS grain, * FROM sub_national UNION ALL BY NAME"
     " SELECT 'national' AS grain, * FROM national",
-)(lambda s: extracts.both_grains(s.year_fact(), s.params))
+)(lambda s: extracts.both_grains(s.year_fact(), s.params, s.year_values()))
 
 # -- tables -------------------------------------------------------------------
 

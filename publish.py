@@ -1,7 +1,7 @@
 """The publication as a job: facts and reference files in, tables and figures out.
 
     spark-submit publish.py --years … --months … --flu … --appeals-history …
-        --appeals-current … --out … [--latest-year 2023/2024]
+        --appeals-current … --out … [--values …] [--latest-year 2023/2024]
         [--jdbc-url … --jdbc-property user=… --jdbc-property driver=…]
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from apothecary.params import ReportParams
 from apothecary.plans.publication import Publication
-from apothecary.schemas import MONTH_FACT, YEAR_FACT
+from apothecary.schemas import MONTH_FACT, YEAR_FACT, YEAR_VALUES
 from apothecary.session import configure
 from apothecary.sources.reference import (
     read_appeals_current,
@@ -31,6 +31,7 @@ def arguments(words: Sequence[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Write all tables and figures.")
     parser.add_argument("--years", required=True, help="contractor-year fact, Parquet or table")
     parser.add_argument("--months", required=True, help="contractor-month fact, Parquet or table")
+    parser.add_argument("--values", help="counts written beside the year fact, Parquet")
     parser.add_argument("--flu", required=True, help="folder with the flu reference CSV")
     parser.add_argument("--appeals-history", required=True, help="earlier decisions, CSV")
     parser.add_argument("--appeals-current", required=True, help="this year's decisions, CSV")
@@ -70,6 +71,7 @@ def run(spark: SparkSession, words: Sequence[str]) -> None:
         read_appeals_history(spark, args.appeals_history),
         read_appeals_current(spark, args.appeals_current),
         params,
+        read_fact(spark, args.values, YEAR_VALUES) if args.values else None,
     ).publish(args.out)
 
 

@@ -1,10 +1,13 @@
 """Invariants of tables, quirks of extracts, and the publication run."""
 
+import random
+import statistics
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from apothecary.operators.median import medians_of_counts, value_counts
 from apothecary.params import ReportParams
 from apothecary.plans import figures, tables
 from apothecary.plans.extracts import (
@@ -58,6 +61,26 @@ def test_both_grains_equal_the_two_extracts(inputs):
         assert row_sets(got) == row_sets(alone)
 
 
+def test_both_grains_read_the_fact_once(inputs):
+    both = both_grains(inputs.year_fact(), inputs.params, inputs.year_values())
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("Relation [CONTRACTOR_ID") == 1
+    assert row_sets(both) == row_sets(both_grains(inputs.year_fact(), inputs.params))
+
+
+def test_medians_of_counts_merge(spark):
+    """Counts of two halves, added up, give the median of the whole at both grains."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["p", "q", None]), rng.choice(["a", "b"]), rng.choice([None, 0.0, -2.5, rng.gauss(0, 40), float(rng.randrange(5))])) for _ in range(900)]
+    halves = [value_counts(spark.createDataFrame(r, "g string, k string, v double"), ["g", "k"], "v") for r in (rows[:450], rows[450:])]
+    got = medians_of_counts(halves[0].unionByName(halves[1]), {"coarse": ["g"], "fine": ["g", "k"]}, ["g", "k"], "m").collect()
+    wanted = {}
+    for g, k, v in rows:
+        if v is not None:
+            wanted.setdefault(("coarse", g, None), []).append(v)
+            wanted.setdefault(("fine", g, k), []).append(v)
+    assert {(r["grain"], r["g"], r["k"]): r["m"] for r in got} == {key: pytest.approx(statistics.median(v)) for key, v in wanted.items()}
+
+
 def fact_rows(spark, rows):
     """Year fact rows from the columns given; the others are NULL."""
     full = [tuple(r.get(n) for n in YEAR_FACT.fieldNames()) for r in rows]
@@ -251,6 +274,6 @@ def test_job_from_claims_to_publication(spark, inputs, tmp_path):
     publish(
         spark,
         ["--years", at("facts/years"), "--months", at("facts/months"), "--flu", at("flu"),
-         "--appeals-history", at("old"), "--appeals-current", at("new"), "--out", at("out"), "--latest-year", "2001/2002"],
+         "--values", at("facts/values"), "--appeals-history", at("old"), "--appeals-current", at("new"), "--out", at("out"), "--latest-year", "2001/2002"],
     )
     assert spark.read.parquet(at("out/tables/table_03/parquet")).count() > 0
