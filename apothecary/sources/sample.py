@@ -162,6 +162,7 @@ class Sample:
             "FINANCIAL_YEAR",
             self.params,
             self._version(),
+            sized=False,
         )
 
     def year_fact(self) -> DataFrame:
@@ -175,6 +176,7 @@ class Sample:
             "FINANCIAL_YEAR",
             self.params,
             self._version(),
+            sized=False,
         )
 
     def year_values(self) -> DataFrame:
