@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 from apothecary.schemas import require
 
 
-def read_fact(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A fact kept as Parquet, with the declared schema."""
-    return spark.read.schema(schema).parquet(path)
+def read_fact(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """A fact kept as Parquet, one folder or some files, with the declared schema."""
+    return spark.read.schema(schema).parquet(*([path] if isinstance(path, str) else path))
 
 
 @dataclass(frozen=True)

@@ -1,11 +1,12 @@
-"""The facts as a job: claims, contractors and their history in, two facts out.
+"""The facts as a job: claims, contractors and their history in, facts out.
 
     spark-submit build_facts.py --claims … --contractors … [--history …] --out …
 
-``publish.py`` reads what this writes: ``out/years`` and ``out/months``, each
-partitioned by financial year, and ``out/values``, the counts from which medians of the
+``publish.py`` reads what this writes: ``out/years`` and ``out/months``, partitioned by
+financial year and month, and ``out/values``, the counts from which medians of the
 years are taken. ``out/sums`` has the claims added up by month; it is
-written first, so that claims are read once.
+written first, so that claims are read once. Run again, the job reads and writes only
+the months that changed claim files have claims of; see ``apothecary.plans.refresh``.
 """
 
 from __future__ import annotations
@@ -14,14 +15,10 @@ import argparse
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from apothecary.params import ReportParams
-from apothecary.plans import facts
-from apothecary.plans.extracts import median_values
-from apothecary.schemas import ACTIVITY, ATTRIBUTE_HISTORY, CLAIMS, CONTRACTORS, YEAR_FACT
+from apothecary.plans.refresh import Facts
 from apothecary.session import configure
-from apothecary.sources.warehouse import read_fact
 
 
 def arguments(words: Sequence[str]) -> argparse.Namespace:
@@ -36,21 +33,8 @@ def arguments(words: Sequence[str]) -> argparse.Namespace:
 def run(spark: SparkSession, words: Sequence[str]) -> None:
     args = arguments(words)
     configure(spark)
-    params = ReportParams()
-    contractors = read_fact(spark, args.contractors, CONTRACTORS)
-    claims = read_fact(spark, args.claims, CLAIMS)
-    _write(facts.month_sums(claims, contractors), f"{args.out}/sums")
-    months = read_fact(spark, f"{args.out}/sums", ACTIVITY)
-    held = contractors
-    if args.history:
-        held = facts.held_by_year(contractors, read_fact(spark, args.history, ATTRIBUTE_HISTORY), months)
-    _write(facts.year_fact(months, held, params), f"{args.out}/years")
-    _write(facts.month_fact(months, held, params), f"{args.out}/months")
-    _write(median_values(read_fact(spark, f"{args.out}/years", YEAR_FACT)), f"{args.out}/values")
-
-
-def _write(df: DataFrame, path: str) -> None:
-    df.write.partitionBy("FINANCIAL_YEAR").parquet(path)
+    done = Facts(spark, args.out).refresh(args.claims, args.contractors, args.history)
+    print("all months" if done.whole else f"months: {', '.join(map(str, done.months)) or 'none'}")
 
 
 if __name__ == "__main__":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from apothecary.functions.scalars import financial_year_label, financial_year_start, safe_ratio
@@ -9,10 +11,12 @@ from apothecary.operators import fact
 from apothecary.plans import facts, figures, tables
 from apothecary.plans.extracts import NATIONAL, extract
 from apothecary.plans.publication import Publication, published_values
+from apothecary.plans.refresh import Facts
 from apothecary.schemas import MONEY, VOLUMES, YEAR_FACT
 from apothecary.session import run_folder
 from apothecary.sinks.files import write_csv, write_rows
 from apothecary.sources import reference
+from apothecary.sources.warehouse import read_fact
 from catalogue.core import BODIES, Inputs, query
 
 ACTIVITY_COLUMNS = ", ".join(
@@ -181,6 +185,23 @@ query(
 )(lambda s: lower(s.year_fact()))
 
 
+def _refreshed(s: Inputs):
+    """The year fact after three runs: without some claims, with all of them, and with nothing new."""
+    folder = run_folder(s.spark, f"files/refresh-{uuid4().hex}")
+    claims, late = s.claims(), F.col("CLAIM_DATE").between("2001-02-01", "2001-05-31")
+    claims.where(~late).write.parquet(f"{folder}/claims")
+    s.contractors().write.parquet(f"{folder}/contractors")
+    built = Facts(s.spark, f"{folder}/facts", s.params)
+    built.refresh(f"{folder}/claims", f"{folder}/contractors")
+    claims.where(late).write.mode("append").parquet(f"{folder}/claims")
+    for _ in range(2):
+        built.refresh(f"{folder}/claims", f"{folder}/contractors")
+    return lower(read_fact(s.spark, f"{folder}/facts/years", YEAR_FACT))
+
+
+query("src1_refreshed", BODIES["src1_year_fact"])(_refreshed)
+
+
 def _flu_file(s: Inputs):
     folder = run_folder(s.spark, "files/flu")
     file = s.flu_reference().withColumn("remark", F.lit("not read"))
