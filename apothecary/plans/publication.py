@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from apothecary.params import ReportParams
@@ -16,10 +17,12 @@ from apothecary.plans.flu import with_flu_reference
 from apothecary.plans.measures import BY_NAME
 from apothecary.plans.tables import TITLES, Extracts
 from apothecary.schemas import GEOGRAPHY
+from apothecary.sinks.bundle import Bundle, unequal
 from apothecary.sinks.files import with_titles, write_csv, write_table
 from apothecary.sources.reference import fee_schedule
 
 ALL_TABLES = tuple(range(1, 21))
+VALUES = "position int, row_key string, column_name string, value double"
 
 # Notes printed below a table, by table number.
 _MULTIPLE = "An owner with six or more pharmacies counts as a multiple contractor."
@@ -129,14 +132,22 @@ class Publication:
             return table_20(self.appeals_history, self.appeals_current)
         return tables.table(number, extracts, self.params)
 
-    def publish(self, folder: str) -> None:
-        """Every table and figure; what was kept for them is let go again."""
+    def publish(self, folder: str, numbers: tuple[int, ...] = ALL_TABLES, with_figures: bool = True) -> str:
+        """Tables and figures as a new version of the bundle ``folder``; gives the version's folder.
+
+        Readers get it, by ``Bundle.current``, when all of it is written. What was kept for it is let go again.
+        """
+        bundle = Bundle(self.spark, folder)
+        staged = bundle.stage()
         extracts = self.extracts()
         try:
-            self.publish_tables(f"{folder}/tables", extracts)
-            self.publish_figures(f"{folder}/figures", extracts)
+            self.publish_tables(f"{staged}/tables", extracts, numbers)
+            if with_figures:
+                self.publish_figures(f"{staged}/figures", extracts)
         finally:
             extracts.release()
+        bundle.commit(staged)
+        return staged
 
     def publish_tables(
         self, folder: str, extracts: Extracts, numbers: tuple[int, ...] = ALL_TABLES
@@ -196,29 +207,41 @@ def contents(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "position int, title string, notes string")
 
 
-def published_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Contents with the number of rows each written table has."""
-    counts = None
-    for n in ALL_TABLES:
-        one = spark.read.parquet(f"{folder}/table_{n:02d}/parquet").select(
-            F.lit(n).alias("position")
-        )
-        counts = one if counts is None else counts.unionAll(one)
-    per_table = counts.groupBy("position").agg(F.count(F.lit(1)).alias("row_count"))
-    return contents(spark).join(per_table, "position").select("position", "title", "row_count")
-
-
-def published_values(spark: SparkSession, folder: str) -> DataFrame:
+def published_values(spark: SparkSession, folder: str, numbers: Sequence[int] = ALL_TABLES) -> DataFrame:
     """Every value of the written tables: position, row_key, column_name, value.
 
     A row is named by its text columns, in order, with a bar between them.
     """
     values = None
-    for n in ALL_TABLES:
+    for n in numbers:
         table = spark.read.parquet(f"{folder}/table_{n:02d}/parquet")
         texts = [c for c, kind in table.dtypes if kind == "string"]
-        numbers = [F.col(c).cast("double").alias(c) for c in table.columns if c not in texts]
-        rows = table.select(F.lit(n).alias("position"), F.concat_ws("|", *texts).alias("row_key"), *numbers)
+        measured = [F.col(c).cast("double").alias(c) for c in table.columns if c not in texts]
+        rows = table.select(F.lit(n).alias("position"), F.concat_ws("|", *texts).alias("row_key"), *measured)
         long = rows.unpivot(["position", "row_key"], None, "column_name", "value")
         values = long if values is None else values.unionAll(long)
     return values
+
+
+def changed_values(spark: SparkSession, old: str, new: str) -> DataFrame:
+    """Every value of the tables that differs between two versions of a bundle.
+
+    The manifests tell which tables differ at all; the others are not read. A value
+    that one version doesn't have is NULL there, with ``in_old`` or ``in_new`` false. Rows of
+    one name are matched in order of their values.
+    """
+    bundle = Bundle(spark, old)
+    names = [r["name"] for r in unequal(bundle.manifest(old), bundle.manifest(new)).where("name LIKE 'tables/table%'").collect()]
+    numbers = sorted(int(n.rsplit("_", 1)[1]) for n in names)
+    sides = []
+    for version, side in ((old, "old"), (new, "new")):
+        have = {r["name"] for r in bundle.manifest(version).select("name").collect()}
+        there = [n for n in numbers if f"tables/table_{n:02d}" in have]
+        values = published_values(spark, f"{version}/tables", there) if there else spark.createDataFrame([], VALUES)
+        same = Window.partitionBy("position", "row_key", "column_name").orderBy("value")
+        sides.append(values.select(
+            "position", "row_key", "column_name", F.row_number().over(same).alias("copy"), F.col("value").alias(f"{side}_value"), F.lit(True).alias(f"in_{side}")))
+    both = sides[0].join(sides[1], ["position", "row_key", "column_name", "copy"], "full_outer")
+    flags = [F.coalesce(f"in_{side}", F.lit(False)).alias(f"in_{side}") for side in ("old", "new")]
+    found = both.select("position", "row_key", "column_name", "copy", "old_value", "new_value", *flags)
+    return found.where(~F.col("old_value").eqNullSafe(F.col("new_value")) | ~F.col("in_old") | ~F.col("in_new"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from uuid import uuid4
 
 from pyspark.sql import functions as F
@@ -10,10 +11,11 @@ from apothecary.functions.scalars import financial_year_label, financial_year_st
 from apothecary.operators import fact
 from apothecary.plans import facts, figures, tables
 from apothecary.plans.extracts import NATIONAL, extract
-from apothecary.plans.publication import Publication, published_values
+from apothecary.plans.publication import Publication, changed_values, published_values
 from apothecary.plans.refresh import Facts
 from apothecary.schemas import MONEY, VOLUMES, YEAR_FACT
 from apothecary.session import run_folder
+from apothecary.sinks.bundle import Bundle
 from apothecary.sinks.files import write_csv, write_rows
 from apothecary.sources import reference
 from apothecary.sources.warehouse import read_fact
@@ -296,16 +298,23 @@ def _publication(s: Inputs) -> Publication:
         s.appeals_history(),
         s.appeals_current(),
         s.params,
+        s.year_values(),
     )
 
 
 def _published(s: Inputs):
     folder = run_folder(s.spark, "publication")
-    publication = _publication(s)
-    extracts = publication.extracts()
-    publication.publish_tables(folder, extracts)
-    extracts.release()
-    return published_values(s.spark, folder)
+    _publication(s).publish(folder, with_figures=False)
+    return published_values(s.spark, f"{Bundle(s.spark, folder).current()}/tables")
+
+
+def _changed(s: Inputs):
+    """Three tables as they were before the last year came in, and as they are; one of them is as it was."""
+    folder, now = run_folder(s.spark, f"files/changed-{uuid4().hex}"), _publication(s)
+    years = s.year_fact().where(F.col("FINANCIAL_YEAR") < s.params.latest_year)
+    old = replace(now, year_fact=years, year_values=None).publish(folder, (3, 17, 20), False)
+    new = now.publish(folder, (3, 17, 20), False)
+    return changed_values(s.spark, old, new)
 
 
 def _values_sql(n: int) -> str:
@@ -326,6 +335,12 @@ _MORE_KEYS = {
     **{n: (("region_code", "region_name"), ("icb_code", "icb_name"))[n % 2] for n in range(14, 20)},
 }
 query("snk2_publication", " UNION ALL ".join(_values_sql(n) for n in range(1, 21)))(_published)
+query(
+    "chk2_publications",
+    "SELECT position, row_key, column_name, CAST(1 AS INTEGER) AS copy, CAST(NULL AS DOUBLE) AS old_value,"
+    f" value AS new_value, false AS in_old, true AS in_new FROM ({_values_sql(3)} UNION ALL {_values_sql(17)})"
+    " WHERE row_key LIKE '2001/2002%'",
+)(_changed)
 
 
 def _figure_file(s: Inputs):

@@ -1,4 +1,4 @@
-"""The publication as a job: facts and reference files in, tables and figures out.
+"""The publication as a job: facts and reference files in, a version with tables and figures out.
 
     spark-submit publish.py --years … --months … --flu … --appeals-history …
         --appeals-current … --out … [--values …] [--latest-year 2023/2024]
@@ -63,7 +63,7 @@ def run(spark: SparkSession, words: Sequence[str]) -> None:
         params = replace(params, latest_year=args.latest_year)
     else:
         params = params.for_latest_year_of(years)
-    Publication(
+    version = Publication(
         spark,
         years,
         read(spark, args, args.months, MONTH_FACT),
@@ -73,6 +73,7 @@ def run(spark: SparkSession, words: Sequence[str]) -> None:
         params,
         read_fact(spark, args.values, YEAR_VALUES) if args.values else None,
     ).publish(args.out)
+    print(version)
 
 
 if __name__ == "__main__":

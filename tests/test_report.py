@@ -20,8 +20,9 @@ from apothecary.plans.extracts import (
 )
 from apothecary.plans.flu import with_flu_reference
 from apothecary.plans.measures import MEASURES
-from apothecary.plans.publication import contents, field_dictionary, published_rows
+from apothecary.plans.publication import changed_values, contents, field_dictionary
 from apothecary.schemas import FLU, YEAR_FACT, require
+from apothecary.sinks.bundle import Bundle
 from catalogue.core import Inputs
 from catalogue.inputs import _publication
 from catalogue.table_columns import COLUMNS
@@ -208,18 +209,53 @@ def test_fields_and_contents(spark):
 
 
 def test_publication(spark, inputs, tmp_path):
-    out = str(tmp_path / "out")
+    out, bundle = str(tmp_path / "out"), Bundle(spark, str(tmp_path / "out"))
     publication = _publication(inputs)
-    publication.publish(out)
-    rows = published_rows(spark, f"{out}/tables").collect()
-    assert len(rows) == 20 and all(r["row_count"] > 0 for r in rows)
-    stored = spark.read.parquet(f"{out}/tables/table_03/parquet")
+    first = publication.publish(out)
+    assert bundle.current() == first
+    rows = {r["name"]: r["rows"] for r in bundle.manifest(first).collect()}
+    assert len([n for n in rows if n.startswith("tables/")]) == 20 and all(rows.values())
+    assert rows["figures/figure_17/wide"] and rows["figures/figure_19"] and len(rows) == 20 + 2 * 18 + 1
+    stored = spark.read.parquet(f"{first}/tables/table_03/parquet")
     assert stored.schema["items_total"].metadata["title"] == "Total of ITEMS"
     alone = tables.table(3, inputs.extracts(), inputs.params)
     assert row_sets(stored) == row_sets(alone)
-    csv = spark.read.csv(f"{out}/figures/figure_17/wide", header=True)
+    csv = spark.read.csv(f"{first}/figures/figure_17/wide", header=True)
     assert csv.columns == ["year_month", "cost_of_products", "cost_of_consultation_fees"]
 
+    # A run that fails leaves the version that was there.
+    broken = replace(publication, appeals_current=publication.appeals_current.drop("number"))
+    with pytest.raises(Exception):
+        broken.publish(out)
+    assert bundle.current() == first and bundle.damaged(first).isEmpty()
+    second = publication.publish(out, (3,), False)
+    assert bundle.current() == second and changed_values(spark, second, second).isEmpty()
+    stored.limit(3).write.mode("append").parquet(f"{first}/tables/table_03/parquet")
+    assert [r["name"] for r in bundle.damaged(first).collect()] == ["tables/table_03"]
+    publication.publish(out, (3,), False)
+    assert len(list((tmp_path / "out/versions").iterdir())) == 3  # two complete ones and what failed
+    assert bundle.current() != second
+
+
+def test_values_that_changed_are_listed(spark, inputs, tmp_path):
+    bundle = Bundle(spark, str(tmp_path))
+
+    def version(rows, more=()):
+        staged = bundle.stage()
+        for n, r in ((1, rows), (2, [("x", 1.0, 1)]), *more):
+            spark.createDataFrame(r, "k string, v double, n int").write.parquet(f"{staged}/tables/table_{n:02d}/parquet")
+        bundle.commit(staged, keep=9)
+        return staged
+
+    old = version([("a", 1.0, 1), ("a", 2.0, 1), ("b", None, 2), (None, 5.0, None)])
+    new = version([("a", 2.0, 1), ("a", 3.0, 1), ("b", 0.0, 2), (None, 5.0, None)], [(3, [("y", None, 4)])])
+    got = {tuple(r) for r in changed_values(spark, old, new).collect()}
+    assert got == {
+        (1, "a", "v", 1, 1.0, 2.0, True, True), (1, "a", "v", 2, 2.0, 3.0, True, True), (1, "b", "v", 1, None, 0.0, True, True),
+        (3, "y", "v", 1, None, None, False, True), (3, "y", "n", 1, None, 4.0, False, True),
+    }
+    assert "table_02" not in changed_values(spark, old, new)._jdf.queryExecution().optimizedPlan().toString()
+
 
 def test_job_from_files(spark, inputs, tmp_path):
     """The command line job, over facts and reference files on disk."""
@@ -238,10 +274,11 @@ def test_job_from_files(spark, inputs, tmp_path):
          "--appeals-history", at("history"), "--appeals-current", at("current"),
          "--out", at("out"), "--latest-year", "2001/2002"],
     )
-    stored = spark.read.parquet(at("out/tables/table_17/parquet"))
+    version = Bundle(spark, at("out")).current()
+    stored = spark.read.parquet(f"{version}/tables/table_17/parquet")
     alone = tables.table(17, inputs.extracts(), inputs.params)
     assert row_sets(stored) == row_sets(alone)
-    appeals = spark.read.parquet(at("out/tables/table_20/parquet"))
+    appeals = spark.read.parquet(f"{version}/tables/table_20/parquet")
     assert appeals.where("financial_year = '2001/2002'").count() == 9
 
 
@@ -276,4 +313,4 @@ def test_job_from_claims_to_publication(spark, inputs, tmp_path):
         ["--years", at("facts/years"), "--months", at("facts/months"), "--flu", at("flu"),
          "--values", at("facts/values"), "--appeals-history", at("old"), "--appeals-current", at("new"), "--out", at("out"), "--latest-year", "2001/2002"],
     )
-    assert spark.read.parquet(at("out/tables/table_03/parquet")).count() > 0
+    assert spark.read.parquet(f"{Bundle(spark, at('out')).current()}/tables/table_03/parquet").count() > 0
