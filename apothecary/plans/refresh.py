@@ -12,7 +12,7 @@ the next run takes up the same months again; replacing a partition twice changes
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -20,16 +20,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apothecary.functions.scalars import month_key
+from apothecary.operators.checks import SEEN, seen, watched
 from apothecary.operators.digests import digest
-from apothecary.params import ReportParams
+from apothecary.params import BANDS, ReportParams
 from apothecary.plans import facts
 from apothecary.plans.extracts import median_values
-from apothecary.schemas import ACTIVITY, ATTRIBUTE_HISTORY, CLAIMS, CONTRACTORS, YEAR_FACT
+from apothecary.schemas import ACTIVITY, ATTRIBUTE_HISTORY, CLAIMS, CLASS, CONTRACTORS, YEAR_FACT
 from apothecary.sources.warehouse import read_fact
 
 # Stands for claims without a date.
 NO_MONTH = -1
 YEAR, MONTH = ("FINANCIAL_YEAR",), ("FINANCIAL_YEAR", "YEAR_MONTH")
+LISTED = {CLASS: ("Y", "N"), "CONTRACTOR_TYPE": ("Independent", "Multiple contractor"), "MONTHLY_DISP_VOL_BAND": BANDS}
 FILES = "path string, length bigint, modified timestamp, months array<int>"
 INPUTS = "inputs string"
 
@@ -106,8 +108,19 @@ class Facts:
 
     # -- partitions ------------------------------------------------------------
 
-    def _replace(self, df: DataFrame, table: str, by: tuple[str, ...]) -> None:
-        """The partitions ``df`` has rows of; others stay."""
+    def checks(self, table: str) -> DataFrame:
+        """Completeness and categories of what the last run wrote of a fact, counted as it was written."""
+        return self.spark.read.schema(SEEN).parquet(f"{self.folder}/checks/{table}")
+
+    def _replace(self, df: DataFrame, table: str, by: tuple[str, ...], listed: dict[str, Sequence[str]] | None = None) -> None:
+        """The partitions ``df`` has rows of; others stay. With ``listed``, what passes is counted."""
+        if listed is not None:
+            df, observed = watched(df, listed)
+        self._write(df, table, by)
+        if listed is not None:
+            seen(self.spark, observed).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/checks/{table}")
+
+    def _write(self, df: DataFrame, table: str, by: tuple[str, ...]) -> None:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{self.folder}/{table}")
 
     def _drop_empty(self, months: Iterable[int], have: set[int]) -> None:
@@ -196,8 +209,8 @@ class Facts:
             by_year = sums.where(F.col("FINANCIAL_YEAR").isin(years) | no_year)
             by_month = by_year.where(F.coalesce("YEAR_MONTH", F.lit(NO_MONTH)).isin(months))
         held = known if changes is None else facts.held_by_year(known, changes, by_year)
-        self._replace(facts.year_fact(by_year, held, self.params), "years", YEAR)
-        self._replace(facts.month_fact(by_month, held, self.params), "months", MONTH)
+        self._replace(facts.year_fact(by_year, held, self.params), "years", YEAR, LISTED)
+        self._replace(facts.month_fact(by_month, held, self.params), "months", MONTH, LISTED)
         years_now = read_fact(self.spark, f"{self.folder}/years", YEAR_FACT)
         if months is not None:
             years_now = years_now.where(F.col("FINANCIAL_YEAR").isin(years) | no_year)

@@ -9,6 +9,7 @@ from apothecary.operators import checks, trends
 from apothecary.operators.reshape import to_long
 from apothecary.plans.extracts import NATIONAL, extract
 from apothecary.schemas import CLASS, YEAR_FACT
+from apothecary.session import run_folder
 from catalogue.core import Inputs, query
 
 SERIES = ("appliance_dispenser_hist",)
@@ -196,3 +197,47 @@ query(
     )
     + "))",
 )(_limits)
+
+
+def _left_out(s: Inputs):
+    long = to_long(_national(s, *_WATCHED), [YEAR, *SERIES], list(_WATCHED))
+    out = checks.limits_without_the_point(long, [*SERIES, "measure"], YEAR, "value", width=3.0)
+    limits = ("mean", "lower_limit", "upper_limit", "range_lower", "range_upper")
+    return out.select(
+        YEAR, *SERIES, "measure", "value", "outlier", "range_outlier", *[F.round(c, 2).alias(c) for c in limits])
+
+
+_LEFT = f"""SELECT *, avg(value) OVER others AS m, stddev_samp(value) OVER others AS d,
+    (sum(step) OVER whole - coalesce(step, 0) - coalesce(next_step, 0))
+    / nullif(count(step) OVER whole - (step IS NOT NULL)::INT - (next_step IS NOT NULL)::INT, 0) AS r
+    FROM (SELECT *, lead(step) OVER line AS next_step FROM (SELECT *, abs(value - lag(value) OVER line) AS step FROM ("""
+_LEFT += " UNION ALL ".join(f"SELECT {KEYS}, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM national" for m in _WATCHED)
+_LEFT += f""") WINDOW line AS (PARTITION BY {SERIES[0]}, measure ORDER BY {YEAR}))
+    WINDOW line AS (PARTITION BY {SERIES[0]}, measure ORDER BY {YEAR}))
+    WINDOW whole AS (PARTITION BY {SERIES[0]}, measure),
+    others AS (PARTITION BY {SERIES[0]}, measure ORDER BY {YEAR}
+    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING EXCLUDE CURRENT ROW)"""
+query(
+    "chk3_without_the_point",
+    f"""SELECT {KEYS}, measure, value, value < m - 3 * d OR value > m + 3 * d AS outlier,
+    value < m - 2.66 * r OR value > m + 2.66 * r AS range_outlier, round(m, 2) AS mean,
+    round(m - 3 * d, 2) AS lower_limit, round(m + 3 * d, 2) AS upper_limit,
+    round(m - 2.66 * r, 2) AS range_lower, round(m + 2.66 * r, 2) AS range_upper FROM ({_LEFT})""",
+)(_left_out)
+
+
+def _observed(s: Inputs):
+    """NULLs and classes out of list, counted while the year fact is written once more."""
+    rows, observed = checks.watched(s.year_fact_from(s.activity()), {CLASS: ["Y"]})
+    rows.write.mode("overwrite").parquet(run_folder(s.spark, "files/watched"))
+    return checks.seen(s.spark, observed)
+
+
+query(
+    "chk1_observed",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS missing,"
+        f" {f"count(*) FILTER ({c} <> 'Y')" if c == CLASS else 'CAST(NULL AS BIGINT)'} AS unlisted FROM year_fact"
+        for c in YEAR_FACT.fieldNames()
+    ),
+)(_observed)

@@ -333,3 +333,23 @@ def test_fee_schedule_dates(spark):
     assert len(rows) == 8
     assert rows[0]["fee_start_date"] == D(2001, 1, 1)
     assert rows[-1]["fee_end_date"] == D(2024, 3, 31)
+
+
+def test_an_outlier_in_a_short_series_is_flagged(spark):
+    rows = [("s", t, v) for t, v in enumerate([10.0, 11.0, 10.0, 11.0, 60.0, 10.0])] + [("s", 9, None), ("one", 1, 5.0), ("two", 1, 5.0), ("two", 2, 6.0)]
+    df = spark.createDataFrame(rows, "s string, t int, v double")
+    assert not any(r["outlier"] for r in checks.control_limits(df, ["s"], "v").collect())
+    got = {(r["s"], r["t"]): r for r in checks.limits_without_the_point(df, ["s"], "t", "v").collect()}
+    assert [k for k, r in got.items() if r["outlier"]] == [("s", 4)] and got["s", 4]["range_outlier"]
+    others = [10.0, 11.0, 10.0, 11.0, 10.0]
+    assert got["s", 4]["upper_limit"] == pytest.approx(statistics.mean(others) + 3 * statistics.stdev(others))
+    assert got["s", 4]["range_upper"] == pytest.approx(statistics.mean(others) + 2.66 * 1.0)
+    assert ("s", 9) not in got and got["one", 1]["mean"] is None and got["two", 1]["mean"] == 6.0
+    assert got["two", 1]["outlier"] is None and got["one", 1]["range_outlier"] is None
+
+
+def test_counts_are_taken_while_rows_are_written(spark, tmp_path):
+    df = spark.createDataFrame([("Y", 1), ("N", None), (None, 2), ("?", 3)], "c string, n int")
+    rows, observed = checks.watched(df, {"c": ["Y", "N"]})
+    rows.write.parquet(str(tmp_path / "out"))
+    assert {tuple(r) for r in checks.seen(spark, observed).collect()} == {("c", 4, 1, 1), ("n", 4, 1, None)}

@@ -55,6 +55,12 @@ def test_a_changed_month_rewrites_its_own_partitions(spark, sources, tmp_path):
     assert {y for y in years_after if years_after[y] != years.get(y)} == {"FINANCIAL_YEAR=2000%2F2001"}
     assert contents(spark, str(tmp_path / "facts")) == full_build(spark, sources, tmp_path, claims)
 
+    written = read_fact(spark, str(tmp_path / "facts/months"), MONTH_FACT).where("YEAR_MONTH = 200103")
+    counted = {r["column_name"]: r for r in facts.checks("months").collect()}
+    assert counted["ITEMS"]["rows"] == written.count() and counted["ITEMS"]["missing"] == 0
+    assert counted["PFCP_UMSMIREMUNERATION"]["missing"] == written.where("PFCP_UMSMIREMUNERATION IS NULL").count()
+    assert counted["CONTRACTOR_TYPE"]["unlisted"] == 0 and counted["ITEMS"]["unlisted"] is None
+
 
 def test_files_that_go_take_their_months(spark, sources, tmp_path):
     claims, facts = tmp_path / "claims", Facts(spark, str(tmp_path / "facts"))
