@@ -353,3 +353,14 @@ def test_counts_are_taken_while_rows_are_written(spark, tmp_path):
     rows, observed = checks.watched(df, {"c": ["Y", "N"]})
     rows.write.parquet(str(tmp_path / "out"))
     assert {tuple(r) for r in checks.seen(spark, observed).collect()} == {("c", 4, 1, 1), ("n", 4, 1, None)}
+
+
+def test_completion_measures_its_items(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("b", None, 2), (None, "y", 3)], "g string, item string, n int")
+    out = complete(df, "item", ["g"], "n")
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert out.count() == 9 and {tuple(r) for r in out.where("n > 0").collect()} == {("a", "x", 1), ("b", None, 2), (None, "y", 3)}
+    with pytest.raises(ValueError, match="more than 2"):
+        complete(df, "item", ["g"], "n", most=2)
+    assert complete(df.limit(0), "item", ["g"], "n").count() == 0
