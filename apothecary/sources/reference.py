@@ -2,33 +2,75 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from apothecary.schemas import APPEALS_CURRENT, APPEALS_HISTORY, FEE_SCHEDULE, FLU, require
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV with a header. Columns are found by name, others ignored."""
-    return require(spark.read.csv(path, header=True, inferSchema=False), schema)
+BROKEN = "_broken_line"
 
 
-def read_flu(spark: SparkSession, folder: str) -> DataFrame:
-    return _read_csv(spark, folder, FLU)
+@dataclass(frozen=True)
+class Checked:
+    """The good rows of a file, and its bad lines: reason, number of lines, and one of them."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def checked_csv(spark: SparkSession, path: str, schema: T.StructType, snake: bool = False) -> Checked:
+    """A CSV with a header, told apart into rows of ``schema`` and lines that are none.
+
+    Columns are found by name, others ignored; a column the file lacks is an error. A line
+    is rejected if it has more or fewer fields than the header, or a text where the schema
+    has another type. A line with several faults counts for each. An empty field is NULL
+    and no fault.
+    """
+    header = spark.read.csv(path, header=True).columns
+    names = [c.strip().lower().replace(" ", "_") if snake else c for c in header]
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BROKEN]])
+    lines = spark.read.csv(path, schema=text, header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN)
+    require(lines.limit(0), schema)
+    faults = [F.when(F.col(BROKEN).isNotNull(), F.lit("number of fields"))]
+    for f in schema.fields:
+        kind = f.dataType.simpleString()
+        if kind != "string":
+            faults.append(F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(kind).isNull(), F.lit(f"{f.name} is no {kind}")))
+    told = lines.withColumn("_faults", F.filter(F.array(*faults), lambda x: x.isNotNull()))
+    good = told.where(F.size("_faults") == 0)
+    own = F.coalesce(BROKEN, F.to_csv(F.struct(*[F.coalesce(f"`{n}`", F.lit("")).alias(n) for n in names])))
+    bad = told.where(F.size("_faults") > 0).select(own.alias("line"), F.explode("_faults").alias("reason"))
+    rejects = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"), F.min("line").alias("example"))
+    return Checked(require(good.drop("_faults", BROKEN), schema), rejects)
+
 
+def checked_flu(spark: SparkSession, folder: str) -> Checked:
+    return checked_csv(spark, folder, FLU)
 
-def _snake(df: DataFrame) -> DataFrame:
-    """Header texts such as ``Financial Year`` as column names."""
-    return df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
+
+def checked_appeals_history(spark: SparkSession, path: str) -> Checked:
+    """Decisions of earlier years, exported from the last publication; headers such as ``Financial Year``."""
+    return checked_csv(spark, path, APPEALS_HISTORY, snake=True)
+
+
+def checked_appeals_current(spark: SparkSession, path: str) -> Checked:
+    return checked_csv(spark, path, APPEALS_CURRENT, snake=True)
+
+
+def read_flu(spark: SparkSession, folder: str) -> DataFrame:
+    return checked_flu(spark, folder).rows
 
 
 def read_appeals_history(spark: SparkSession, path: str) -> DataFrame:
-    """Decisions of earlier years, exported from the last publication."""
-    return require(_snake(spark.read.csv(path, header=True)), APPEALS_HISTORY)
+    return checked_appeals_history(spark, path).rows
 
 
 def read_appeals_current(spark: SparkSession, path: str) -> DataFrame:
-    return require(_snake(spark.read.csv(path, header=True)), APPEALS_CURRENT)
+    return checked_appeals_current(spark, path).rows
 
 
 # Fee name, pence, first and last day.

@@ -231,6 +231,20 @@ def _history_file(s: Inputs):
 query("src3_appeals_history", "SELECT * FROM history")(_history_file)
 
 
+def _history_rejects(s: Inputs):
+    """Lines of a history in which one locality has words for numbers."""
+    folder = run_folder(s.spark, "files/broken_history")
+    number = F.when(F.col("locality") == "Controlled", F.lit("some")).otherwise(F.col("total_decisions").cast("string"))
+    write_csv(s.appeals_history().withColumn("total_decisions", number), folder)
+    return reference.checked_appeals_history(s.spark, folder).rejects.select("reason", "lines")
+
+
+query(
+    "src3_rejects",
+    "SELECT 'total_decisions is no bigint' AS reason, count(*) AS lines FROM history WHERE locality = 'Controlled'",
+)(_history_rejects)
+
+
 def _current_file(s: Inputs):
     folder = run_folder(s.spark, "files/current")
     write_rows(

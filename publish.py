@@ -1,5 +1,7 @@
 """The publication as a job: facts and reference files in, a version with tables and figures out.
 
+Lines of the reference files that are no rows are left out and told in ``out/rejects``.
+
     spark-submit publish.py --years … --months … --flu … --appeals-history …
         --appeals-current … --out … [--values …] [--latest-year 2023/2024]
         [--jdbc-url … --jdbc-property user=… --jdbc-property driver=…]
@@ -19,10 +21,11 @@ from apothecary.params import ReportParams
 from apothecary.plans.publication import Publication
 from apothecary.schemas import MONTH_FACT, YEAR_FACT, YEAR_VALUES
 from apothecary.session import configure
+from apothecary.sinks.files import write_csv
 from apothecary.sources.reference import (
-    read_appeals_current,
-    read_appeals_history,
-    read_flu,
+    checked_appeals_current,
+    checked_appeals_history,
+    checked_flu,
 )
 from apothecary.sources.warehouse import JdbcTable, read_fact
 
@@ -63,13 +66,19 @@ def run(spark: SparkSession, words: Sequence[str]) -> None:
         params = replace(params, latest_year=args.latest_year)
     else:
         params = params.for_latest_year_of(years)
+    files = {
+        "flu": checked_flu(spark, args.flu),
+        "appeals_history": checked_appeals_history(spark, args.appeals_history),
+        "appeals_current": checked_appeals_current(spark, args.appeals_current),
+    }
+    # Before the run, so that a line left out is known whatever comes of it.
+    for name, checked in files.items():
+        write_csv(checked.rejects, f"{args.out}/rejects/{name}")
     version = Publication(
         spark,
         years,
         read(spark, args, args.months, MONTH_FACT),
-        read_flu(spark, args.flu),
-        read_appeals_history(spark, args.appeals_history),
-        read_appeals_current(spark, args.appeals_current),
+        *[checked.rows for checked in files.values()],
         params,
         read_fact(spark, args.values, YEAR_VALUES) if args.values else None,
     ).publish(args.out)

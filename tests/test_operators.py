@@ -364,3 +364,20 @@ def test_completion_measures_its_items(spark):
     with pytest.raises(ValueError, match="more than 2"):
         complete(df, "item", ["g"], "n", most=2)
     assert complete(df.limit(0), "item", ["g"], "n").count() == 0
+
+
+def test_broken_lines_are_reported_and_the_others_unchanged(spark, tmp_path):
+    good = ["2020/2021,Controlled,Application granted,5", '2020/2021,"Non, Controlled",Application refused,', ",,,7"]
+    bad = ["2020/2021,Controlled", "2020/2021,Total,Application granted,five", "2020/2021,Total,Application granted,6,extra", "2021/2022,Total,Application granted,1.5.2"]
+    header = "Financial Year,Locality,Application Decision,Total Decisions"
+    for name, lines in (("clean.csv", good), ("broken.csv", [good[0], bad[0], bad[1], good[1], bad[2], good[2], bad[3]])):
+        (tmp_path / name).write_text("\n".join([header, *lines]) + "\n")
+    clean = reference.checked_appeals_history(spark, str(tmp_path / "clean.csv"))
+    broken = reference.checked_appeals_history(spark, str(tmp_path / "broken.csv"))
+    assert clean.rejects.isEmpty() and clean.rows.schema.fieldNames() == APPEALS_HISTORY.fieldNames()
+    assert sorted(map(str, broken.rows.collect())) == sorted(map(str, clean.rows.collect()))
+    got = {r["reason"]: (r["lines"], r["example"]) for r in broken.rejects.collect()}
+    assert got["number of fields"] == (2, bad[0]) and got["total_decisions is no bigint"][0] == 2
+    with pytest.raises(ValueError, match="locality"):
+        (tmp_path / "other.csv").write_text("financial year\n1\n")
+        reference.read_appeals_history(spark, str(tmp_path / "other.csv"))
