@@ -10,9 +10,10 @@ has ``TOKENS`` minwise tokens. At a node of a tree, one or two of these are sele
 by the node alone, 1 / similarity on average, and each sends a class to the child
 named by its token's value: linked classes stay together at a child with constant
 probability, others part. Nodes of a few classes are leaves and compared exhaustively;
-larger ones branch again, up to ``depth`` times. Independent trees repeat this: a pair
-of similarity s meets in none of c selected tokens with probability (1 - s) ** c, about
-1e-11 for the given trees.
+larger ones branch again, up to ``depth`` times. Trees repeat this with other selections of
+the same tokens, so they are not independent: a pair at the threshold is missed with a
+chance of about 1e-11 if a leaf comes after one branching, and of about 3e-5 (0.85) or 1e-4
+(0.8) if it has to go to full depth in every tree.
 
 What is left at the end of a path is a large group of near copies. Such a node is cut
 into blocks. The first trees compare each block within itself and with the node's
