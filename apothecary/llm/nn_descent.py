@@ -9,23 +9,27 @@ copies are told apart; nothing is rounded or scaled.
 The graph: nodes meet first in small buckets of random hyperplanes; large buckets are
 cut at random. Then, round by round, the neighbours of a node, and some of those whose
 neighbour it is, are brought together by joins and introduced to each other; a node
-keeps the ``degree`` best it has met. Rounds end when few lists still change.
+keeps the ``degree`` best it has met. Rounds end when few lists still change; as a change
+makes a list better, they do end.
 
 The search: a query starts from the neighbours of its own node, and from the best for
 it among the longest nodes of each band of lengths, as the largest products may lie with
 long nodes that are nobody's neighbours. Each round joins the
-neighbours of the best nodes not yet expanded and keeps the best ``beam``. The end is
-exact: scores in double precision, copies of a node by their ids, ties to the smaller.
+neighbours of the best nodes not yet expanded and keeps the best ``beam``, until every
+node of every beam is expanded. The end is exact: scores in double precision, copies of a
+node by their ids, ties to the smaller.
 
 Rows with a null id, a null, empty or zero vector, or null or non-finite components take
-no part, nor do vectors whose length is not the most common one (the smaller of equals).
-Rows of one id and vector are one row; of several vectors of an id the smallest counts.
+no part. An inner product needs equally many components, so vectors of each number of
+components are searched among their own. Rows of one id and vector are one row; of several vectors of an id the smallest counts.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +47,10 @@ class GraphSettings:
     reverse: int = 24
     trees: int = 3
     bucket: int = 128
-    rounds: int = 6
     still: float = 0.03
     introduced: int = 10
-    beam: int = 64
-    width: int = 16
-    steps: int = 6
+    beam: int = 160
+    width: int = 40
     seed: int = 5
     entries: int = 64
     bands: int = 40
@@ -59,9 +61,7 @@ def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     v = F.col(vector)
     fine = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = df.where(F.col(key).isNotNull() & v.isNotNull() & fine)
-    rows = rows.groupBy(F.col(key).cast("long").alias("id")).agg(F.min(v).alias("vec"))
-    sizes = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("vec") == sizes["n"]) if sizes else rows
+    return rows.groupBy(F.col(key).cast("long").alias("id")).agg(F.min(v).alias("vec"))
 
 
 def _codes(kind: str, seed: int, trees: int, bits: int):
@@ -207,7 +207,7 @@ def neighbour_graph(nodes: DataFrame, settings: GraphSettings, count: int, longe
     met = dealt.groupBy("tree", "bucket", "part").applyInArrow(_acquainted(settings.degree, longest, kind), _LISTS)
     graph = stored(_merged(met.withColumn("old", F.lit(False)), settings.degree, shards), "graph")
     codes = nodes.select("id", "code")
-    for turn in range(settings.rounds):
+    for turn in itertools.count():
         ahead = graph.select(F.col("id").alias("center"), F.explode("nbrs").alias("id"))
         pairs = ahead.unionByName(_reverse(graph, settings.reverse, turn).select(F.col("id").alias("center"), F.col("by").alias("id"))).distinct()
         # A list that is not full takes any newcomer.
@@ -218,8 +218,7 @@ def neighbour_graph(nodes: DataFrame, settings: GraphSettings, count: int, longe
         lists = news.withColumn("old", F.lit(False)).unionByName(graph.select("id", "nbrs", "sims", F.lit(True).alias("old")))
         graph = stored(_merged(lists, settings.degree, shards), "graph")
         if (graph.agg(F.sum("changed")).first()[0] or 0) <= settings.still * settings.degree * count:
-            break
-    return graph.select("id", "nbrs", "sims")
+            return graph.select("id", "nbrs", "sims")
 
 
 def _reverse(graph: DataFrame, most: int, turn: int) -> DataFrame:
@@ -311,13 +310,17 @@ def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: G
     codes = nodes.select(F.col("id").alias("node"), "code")
     beams = queries.select("query", "node", "code").mapInArrow(_entered(*entries, settings, kind), _BEAM)
     shards = max(1, count // 500)
-    for step in range(settings.steps):
+    # All queries begin at the entries, so these go to the queries: at most entries * bands rows.
+    entry = F.col("id").isin(entries[0].tolist())
+    for step in itertools.count():
         front = beams.select("query", F.explode("expand").alias("id"))
         if step and front.isEmpty():
             break
-        met = front.join(ways, "id").select("query", F.explode("ways").alias("node")).distinct()
         if step == 0:
-            met = met.unionByName(front.select("query", F.col("id").alias("node"))).distinct()
+            met = front.where(~entry).join(ways, "id").unionByName(front.where(entry).join(F.broadcast(ways.where(entry)), "id"))
+            met = met.select("query", F.explode(F.array_union("ways", F.array("id"))).alias("node")).distinct()
+        else:
+            met = front.join(ways, "id").select("query", F.explode("ways").alias("node")).distinct()
         come = met.join(codes, "node").select("query", "node", "code")
         both = beams.drop("expand").unionByName(come, allowMissingColumns=True)
         beams = stored(_sharded(both, "query", shards).groupBy("shard").applyInArrow(_stepped(settings.beam, settings.width, kind), _BEAM), "beams")
@@ -333,20 +336,29 @@ def nearest(
     ``asks`` is a condition on ``id``; by default every row asks. A row is no answer to itself.
     """
     rows = stored(usable(df, key, vector), "rows")
+    n = F.size("vec")
+    lengths = [r["n"] for r in rows.groupBy(n.alias("n")).count().where("count > 1").orderBy("n").collect()]
+    if not lengths:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, [_nearest(rows.where(n == size), k, asks, settings) for size in lengths])
+
+
+def _nearest(rows: DataFrame, k: int, asks: F.Column | None, settings: GraphSettings) -> DataFrame:
+    """``nearest`` among two or more rows (id, vec) of equally many components."""
     classes = stored(rows.groupBy("vec").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "classes")
     row = classes.agg(F.max(_length()).alias("longest"), F.count("*").alias("n")).first()
     count = row["n"]
     kind = "<f4" if classes.schema["vec"].dataType == T.ArrayType(T.FloatType()) else "<f8"
-    bits = max(0, int(np.ceil(np.log2(max(count, 1) / settings.bucket))))
+    bits = max(0, int(np.ceil(np.log2(count / settings.bucket))))
     named = classes.select(F.col("node").alias("id"), "vec")
     nodes = stored(named.mapInArrow(_codes(kind, settings.seed, settings.trees, bits), "id long, code binary, buckets array<long>"), "nodes")
-    graph = stored(neighbour_graph(nodes, settings, count, row["longest"] or 1.0, kind), "graph")
+    graph = stored(neighbour_graph(nodes, settings, count, row["longest"], kind), "graph")
 
     own = rows.join(classes.select("vec", "node"), "vec").select("id", "node")
     asking = own.where(asks) if asks is not None else own
     # Queries at one node share one search.
     starts = asking.select("node").distinct().join(nodes.select(F.col("id").alias("node"), "code"), "node").select(F.col("node").alias("query"), "node", "code")
-    entries = _longest(named, row["longest"], settings) if count else (np.zeros(0, np.int64), np.zeros((0, 1)))
+    entries = _longest(named, row["longest"], settings)
     found = stored(searched(starts, nodes, graph, settings, count, kind, entries), "found")
     vectors = classes.select("node", "vec")
     exact = (

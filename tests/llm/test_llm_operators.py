@@ -623,3 +623,17 @@ def test_nearest_neighbours_beside_long_vectors(spark, long):
     x[:long] *= 100
     recall, first = recall_of(spark, x.astype(np.float32), F.col("id") % 20 == 3)
     assert recall >= 0.9 and first == 1
+
+
+def test_nearest_neighbours_without_clusters(spark):
+    x = unit(np.random.default_rng(19).standard_normal((6000, 64)))
+    assert recall_of(spark, x.astype(np.float32), F.col("id") % 60 == 0)[0] >= 0.95
+
+
+def test_vectors_of_each_number_of_components_are_searched(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 5)] + [(i, [float(i)]) for i in (11, 12)] + [(20, [1.0, 2.0, 3.0])]
+    found = nn_descent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    pairs = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in found}
+    assert pairs[11, 1] == (12, 132.0) and pairs[12, 1] == (11, 132.0)
+    assert [pairs[4, k] for k in (1, 2, 3)] == [(3, 13.0), (2, 9.0), (1, 5.0)]
+    assert len(pairs) == 4 * 3 + 2
