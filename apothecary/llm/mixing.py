@@ -1,11 +1,14 @@
 """Mixing of sources to target weights by Pareto order sampling.
 
-Each document should appear as often as its source's target asks for on average:
-target words over the source's words, at most three times. The whole part is a
-certain number of copies. For the fraction f that remains, documents are ranked by
-their random odds divided by their inclusion odds, u / (1 - u) over f / (1 - f), and
-the first in that order get one copy more. The sample has a fixed size in words: it
-ends before the document that would pass the source's remaining words. Where this
+How often a document is wanted falls with its length, so that a source's words come
+from many documents: by the fourth root of its length class (sizes between two powers
+of two), times a level of its source, at most three times. The level is the one at which
+wanted words add up to the target. The whole part of what is wanted is a certain number
+of copies. For the fraction f that remains, which differs from document to document,
+documents are ranked by their random odds divided by their inclusion odds, u / (1 - u)
+over f / (1 - f), and the first in that order get one copy more. The sample has a fixed
+size in words: it ends before the document that would pass the source's remaining words.
+Where this
 leaves over a hundredth of the target (in sources of few documents), the order goes on
 with the documents that still fit, a few times; the last place goes to the document
 whose size fits best what is then left, if one brings the total nearer.
@@ -19,7 +22,7 @@ every target is 0. Rows alike in everything are different documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from apothecary.llm.order import running_sum
@@ -28,6 +31,7 @@ from apothecary.llm.shared import stored
 MOST_COPIES = 3
 NEAR = 0.01
 FILL_ROUNDS = 6
+LENGTH_POWER = -0.25
 WEIGHTS = (1, 2, 3)
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -68,18 +72,49 @@ def share_level(sources: DataFrame) -> float:
         level, capped = (row["words"] - row["fixed"]) / row["open"], row["capped"]
 
 
+def _length_class(size: F.Column) -> F.Column:
+    """0 for 1 word, 1 for 2 and 3, 2 for 4 to 7, and so on."""
+    return (F.length(F.bin(size)) - 1).cast("int")
+
+
+def wanted_copies(docs: DataFrame) -> DataFrame:
+    """(source, class, wanted): copies wanted of the documents of a length class, from ``docs`` (source, size, target).
+
+    Shorter classes reach the limit of copies first, so a class is at the limit if the
+    level that the rest of the target gives to it and all longer ones would put it above.
+    The windows see one row for a length class of a source.
+    """
+    weight = F.pow(F.lit(2.0), LENGTH_POWER * F.col("class"))
+    words = (
+        docs.where("size > 0").groupBy("source", _length_class(F.col("size")).alias("class"))
+        .agg(F.sum("size").alias("words"), F.max("target").alias("target")).withColumn("weight", weight)
+    )
+    by_class = Window.partitionBy("source").orderBy("class")
+    shorter = F.coalesce(F.sum("words").over(by_class.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = F.sum(F.col("weight") * F.col("words")).over(by_class.rowsBetween(0, Window.unboundedFollowing))
+    levels = words.withColumn("level", (F.col("target") - MOST_COPIES * shorter) / rest)
+    open_level = F.min(F.when(F.col("level") * F.col("weight") < MOST_COPIES, F.struct("class", "level"))).over(Window.partitionBy("source"))
+    wanted = F.coalesce(F.least(F.lit(float(MOST_COPIES)), open_level["level"] * F.col("weight")), F.lit(float(MOST_COPIES)))
+    return levels.select("source", "class", F.round(wanted, 9).alias("wanted"), "words", "target")
+
+
 def sampled(docs: DataFrame, seed: int = 11) -> DataFrame:
     """``docs`` (doc_id, source, size, source_size, target) with ``copies`` of each document.
 
     ``target`` is in words and holds for the document's source.
     """
-    wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    classes = wanted_copies(docs)
+    certain = Window.partitionBy("source")
+    left = F.col("target") - F.sum(F.floor("wanted") * F.col("words")).over(certain)
+    classes = classes.select(F.col("source").alias("s"), F.col("class").alias("c"), "wanted", left.alias("left"))
+    same = F.col("source").eqNullSafe(F.col("s")) & (_length_class(F.col("size")) == F.col("c"))
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", "size", F.lit(seed)), 11) + 0.5) / float(1 << 53)
     rows = (
-        docs.withColumn("whole", F.floor(wanted))
-        .withColumn("fraction", wanted - F.col("whole"))
+        docs.join(classes, same & (F.col("size") > 0), "left").drop("s", "c")
+        .withColumn("wanted", F.coalesce("wanted", F.lit(0.0)))
+        .withColumn("whole", F.floor("wanted"))
+        .withColumn("fraction", F.col("wanted") - F.col("whole"))
         .withColumn("rank", F.when(F.col("fraction") > 0, (u / (1 - u)) / (F.col("fraction") / (1 - F.col("fraction")))))
-        .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
     )
     able = (F.col("fraction") > 0) & (F.col("size") > 0)
     order = [F.col("rank"), F.col("doc_id"), F.col("size")]

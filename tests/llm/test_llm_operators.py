@@ -214,11 +214,42 @@ def test_mixing_of_odd_tables(spark):
     assert sorted(r["taken"] for r in mixing.mixed_sources(same).collect()) == [2] * 6
 
 
-def test_inclusion_follows_the_fraction():
-    # The order of u / (1 - u) over f / (1 - f) is that of u for equal f: a sample of fixed size.
-    u = np.array([0.2, 0.7, 0.5])
-    rank = (u / (1 - u)) / (0.4 / 0.6)
-    assert list(np.argsort(rank)) == [0, 2, 1]
+def plainly_wanted(sizes, target):
+    """Copies wanted of each size, by halving the interval of the level."""
+    weight = [2 ** (mixing.LENGTH_POWER * (n.bit_length() - 1)) for n in sizes]
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(3, level * w) * n for w, n in zip(weight, sizes)) < target else (low, level)
+    return [min(3, high * w) for w in weight]
+
+
+@pytest.mark.parametrize("share", [0.3, 1.7])
+def test_copies_follow_inclusion_odds_that_differ(spark, share):
+    # Sources alike but for doc_id are as many draws of one sample.
+    sizes, sources = [3, 5, 9, 17, 40] * 60, 60
+    target = share * sum(sizes)
+    rows = [(s * 1000 + i, f"s{s}", n, sum(sizes), target) for s in range(sources) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long, source_size long, target double")
+    out = mixing.sampled(docs).collect()
+    mean, total = {}, {}
+    for r in out:
+        mean[r["size"]] = mean.get(r["size"], 0) + r["copies"] / (60 * sources)
+        total[r["source"]] = total.get(r["source"], 0) + r["copies"] * r["size"]
+    wanted = dict(zip(sizes, plainly_wanted(sizes, target)))
+    assert len({round(w, 3) for w in wanted.values() if w < 3}) == 5
+    for size, w in wanted.items():
+        assert abs(mean[size] - w) < 0.04
+        assert {r["copies"] for r in out if r["size"] == size} <= {int(w + 1e-9), int(w + 1e-9) + 1}
+    assert all(abs(t - target) <= 0.01 * target for t in total.values())
+
+
+def test_inclusion_odds_by_brute_force(spark):
+    docs = spark.createDataFrame([("a", 1, 6.0), ("a", 5, 6.0), (None, 4, 12.0), (None, 0, 12.0), ("b", 7, 0.0)], "source string, size long, target double")
+    got = {(r["source"], r["class"]): r["wanted"] for r in mixing.wanted_copies(docs).collect()}
+    short, long = plainly_wanted([1, 5], 6)
+    assert abs(got["a", 0] - short) < 1e-6 and abs(got["a", 2] - long) < 1e-6
+    assert got[None, 2] == 3 and got["b", 2] == 0 and len(got) == 4
 
 
 def test_running_sum_in_global_order(spark):
