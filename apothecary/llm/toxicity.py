@@ -12,7 +12,8 @@ bins; the bins that tell the classes apart best get a weight.
 
 Null and empty texts have no feature: their score is that of the intercept. With
 nothing to learn from, every score is 0. Rows without a label are not learned from;
-of several labels for a document the largest counts.
+of several labels for a document the largest counts. A row without doc_id is held out
+and scored like any other.
 """
 
 from __future__ import annotations
