@@ -216,7 +216,7 @@ def neighbour_graph(nodes: DataFrame, settings: GraphSettings, count: int, longe
         around = _sharded(pairs.join(known, "id"), "center", shards)
         news = around.groupBy("shard").applyInArrow(_introduced(settings.introduced, longest, kind), _LISTS)
         lists = news.withColumn("old", F.lit(False)).unionByName(graph.select("id", "nbrs", "sims", F.lit(True).alias("old")))
-        graph = stored(_merged(lists, settings.degree, shards), "graph")
+        graph = stored(_merged(lists, settings.degree, shards), "graph", graph)
         if (graph.agg(F.sum("changed")).first()[0] or 0) <= settings.still * settings.degree * count:
             return graph.select("id", "nbrs", "sims")
 
@@ -323,7 +323,8 @@ def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: G
             met = front.join(ways, "id").select("query", F.explode("ways").alias("node")).distinct()
         come = met.join(codes, "node").select("query", "node", "code")
         both = beams.drop("expand").unionByName(come, allowMissingColumns=True)
-        beams = stored(_sharded(both, "query", shards).groupBy("shard").applyInArrow(_stepped(settings.beam, settings.width, kind), _BEAM), "beams")
+        stepped = _sharded(both, "query", shards).groupBy("shard").applyInArrow(_stepped(settings.beam, settings.width, kind), _BEAM)
+        beams = stored(stepped, "beams", beams if step else None)
     return beams.select("query", F.explode("nodes").alias("node"))
 
 

@@ -19,12 +19,14 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, instead: DataFrame | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     This cuts the lineage: a lost executor costs tasks that read the table,
     not the work behind it. Each call writes a folder of its own. Shuffle files
     of earlier steps go when the driver collects its garbage, so it does that first.
+    ``instead`` is an earlier result that nothing reads once this one is written, as in
+    rounds of one table; its folder is deleted then.
     """
     spark = df.sparkSession
     small_batches(spark)
@@ -32,14 +34,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark.sparkContext._jvm.System.gc()
     path = f"{run_folder(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    if instead is not None:
+        _delete(spark, instead.stored_at)
+    return out
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear(spark: SparkSession) -> None:
     """Delete what ``stored`` wrote in this application. No earlier result may be read after it."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark, "llm"))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, run_folder(spark, "llm"))
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from apothecary.llm import (
-    bottom_k, bpe, chosen_path, components, html_text, hypervectors, mixing, nn_descent, order, range_coder, repeats, textvec,
+    bottom_k, bpe, chosen_path, components, html_text, hypervectors, mixing, nn_descent, order, range_coder, repeats, shared, textvec,
     token_files, toxicity,
 )
 
@@ -668,3 +668,11 @@ def test_vectors_of_each_number_of_components_are_searched(spark):
     assert pairs[11, 1] == (12, 132.0) and pairs[12, 1] == (11, 132.0)
     assert [pairs[4, k] for k in (1, 2, 3)] == [(3, 13.0), (2, 9.0), (1, 5.0)]
     assert len(pairs) == 4 * 3 + 2
+
+
+def test_a_round_takes_the_place_of_the_one_before(spark):
+    one = shared.stored(spark.range(5), "round")
+    two = shared.stored(one.where("id > 1"), "round", one)
+    assert two.count() == 3 and two.inputFiles()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(one.stored_at)
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
