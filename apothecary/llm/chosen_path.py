@@ -18,7 +18,8 @@ chance of about 1e-11 if a leaf comes after one branching, and of about 3e-5 (0.
 What is left at the end of a path is a large group of near copies. Such a node is cut
 into blocks. The first trees compare each block within itself and with the node's
 smallest class, which joins most groups into one component; the later trees drop every
-node of a single component, and compare all pairs of blocks of the nodes that remain,
+node of a single component. In the nodes that remain, the largest component is compared
+with the rest block by block, and blocks of the rest with each other,
 skipping pairs whose component is the same. In a leaf, pairs that share too few tokens
 (below the threshold by six standard deviations) are skipped; all others are decided on
 the full shingle sets, the likeliest first, until nothing new can be connected.
@@ -203,6 +204,35 @@ def _block(settings: NearSettings) -> F.Column:
     return F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / settings.block)).cast("int")
 
 
+def _between(placed: DataFrame, settings: NearSettings) -> DataFrame:
+    """Blocks (key, i, j, rep, part) in which any two rows of a node meet whose part differs.
+
+    Rows of a node's largest part need not meet each other. They and the rest are cut into
+    blocks of their own, and each block of the one meets each of the other: while the rest
+    is no more than a block, a row of the largest part is in one block, however large
+    the node is. Only blocks of the rest also meet each other (``j`` from 0 on).
+    """
+    sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("rows"))
+    nodes = sizes.groupBy("key").agg(F.max(F.struct("rows", "part")).alias("main"), F.sum("rows").alias("all"))
+
+    def blocks(rows: str) -> F.Column:
+        return F.greatest(F.ceil(F.expr(rows) / settings.block), F.lit(1)).cast("int")
+
+    nodes = nodes.select("key", F.col("main.part").alias("main"), blocks("main.rows").alias("mains"), blocks("all - main.rows").alias("rests"))
+    rows = placed.join(nodes, "key").withColumn("is_main", F.col("part") == F.col("main"))
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("rests"))).cast("int")
+    others = F.when(F.col("is_main"), F.col("rests")).otherwise(F.col("mains"))
+    rows = rows.withColumn("own", own)
+    crossed = rows.withColumn("other", F.explode(F.sequence(F.lit(0), others - 1))).select(
+        "key", "rep", "part",
+        F.when(F.col("is_main"), F.col("own")).otherwise(F.col("other")).alias("i"),
+        (-1 - F.when(F.col("is_main"), F.col("other")).otherwise(F.col("own"))).alias("j"),
+    )
+    rest = rows.where(~F.col("is_main") & (F.col("rests") > 1)).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)))
+    rest = rest.where("own <> other").select("key", "rep", "part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return crossed.unionByName(rest)
+
+
 def _links(blocks: DataFrame, classes: DataFrame, texts: DataFrame, settings: NearSettings) -> DataFrame:
     """Links found in ``blocks`` (key, i, j, rep, part)."""
     rows = blocks.join(classes.select("rep", "n_shingles", "tokens"), "rep").join(texts, "rep")
@@ -242,11 +272,7 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings()) ->
         "labelled",
     )
     open_nodes = labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
-    count = F.ceil(F.col("n") / settings.block).cast("int")
-    placed = labelled.join(open_nodes, "key").withColumn("own", _block(settings))
-    blocks = placed.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1))).select(
-        "key", "rep", "part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    )
+    blocks = _between(labelled.join(open_nodes, "key").select("key", "rep", "part"), settings)
     more = stored(_links(blocks, classes, texts, settings), "more_links")
     final = components(links.unionByName(more))
 
