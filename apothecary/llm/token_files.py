@@ -19,27 +19,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apothecary.llm.bpe import ENCODED_BYTES, Words
 from apothecary.llm.order import partitions, running_sum
 from apothecary.llm.range_coder import decode, encode
 from apothecary.llm.shared import stored
-from apothecary.llm.textvec import sliced
+from apothecary.llm.textvec import flat, hand_back, sliced
+from apothecary.llm.word_table import CHUNK_BYTES, WordTable, joinable, spans
 
 END = 2
 SEGMENT_IDS = 4 << 20
 CACHED_PIECES = 300_000
+JOINED_BYTES = 1 << 14
 _SEGMENTS = "part int, segment int, n_ids long, doc_ids array<long>, lengths array<long>, data binary"
 
 
 class Library:
-    """Words encoded by a tokenizer file, for ``bpe.Words``.
+    """Words encoded by a tokenizer file.
 
-    A word is encoded piece by piece, as the library's own first step cuts it; pieces
-    repeat even where words do not.
+    Words that may stand in a row are encoded many at a time, as one text. Others are
+    encoded piece by piece, as the library's own first step cuts them; pieces repeat even
+    where words do not.
     """
 
     def __init__(self, path: str):
@@ -50,10 +53,15 @@ class Library:
         self.cut = tokenizer.pre_tokenizer.pre_tokenize_str
         self.model = tokenizer.model
         self.whole = tokenizer.encode
+        self.fast = tokenizer.encode_batch_fast
         self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         # The library's letter for each byte, for words that need no cut.
         self.letter = {b: self.cut(chr(b))[0][0] for b in range(128)}
         self.known: dict[str, bytes] = {}
+        # A letter of a token stands for a byte.
+        self.n_bytes = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
+            self.n_bytes[i] = len(token)
 
     def piece(self, piece: str) -> bytes:
         ids = self.known.get(piece)
@@ -68,53 +76,125 @@ class Library:
         for word in words:
             if word.isascii() and word[1:].isalpha() and word[0] == " ":
                 out.append(self.piece(self.letter[32] + word[1:]))
+            elif word.isascii() and (word.isalpha() or word.isdigit()):
+                out.append(self.piece(word))
             else:
                 out.append(b"".join([self.piece(p) for p, _ in self.cut(word)]) if word else b"")
         return out
 
 
+    def together(self, text: str, length: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of words in a row and each word's number; None if they don't end where words do."""
+        if any(a in text for a in self.added):
+            return None
+        ids = np.array(self.fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        # The bytes that ids stand for tell which of them end a word.
+        sums = np.append(0, np.cumsum(self.n_bytes[ids]))
+        ends = np.cumsum(length)
+        at = np.searchsorted(sums, ends)
+        if at[-1] != len(ids) or not np.array_equal(sums[at], ends):
+            return None
+        return ids, np.diff(at, prepend=0)
+
+    def encode_spans(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words of a ``WordTable``."""
+        length = end - begin
+        row = joinable(data, begin, end)
+        alone, some = np.flatnonzero(~row), np.flatnonzero(row)
+        order, ids, counts = [], [], []
+        for part in np.split(some, np.flatnonzero(np.diff(np.cumsum(length[some]) // JOINED_BYTES)) + 1):
+            if not len(part):
+                continue
+            done = self.together(data[spans(begin[part], length[part])].tobytes().decode(), length[part])
+            if done is None:
+                alone = np.append(alone, part)
+                continue
+            order.append(part)
+            ids.append(done[0])
+            counts.append(done[1])
+        packed = self.encode([data[a:b].tobytes().decode() for a, b in zip(begin[alone].tolist(), end[alone].tolist())])
+        order.append(alone)
+        ids.append(np.frombuffer(b"".join(packed), "<u4"))
+        counts.append(np.fromiter(map(len, packed), np.int64, len(packed)) // 4)
+        return in_order(np.concatenate(order), np.concatenate(ids), np.concatenate(counts))
+
+
+def in_order(order: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ids, put where ``order`` says."""
+    begin, sizes = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+    begin[order], sizes[order] = np.cumsum(counts) - counts, counts
+    return ids[spans(begin, sizes)], sizes
+
+
 class Texts:
     """Whole texts encoded by a tokenizer file: those with an added token by the library, others word by word."""
 
     def __init__(self, path: str):
         self.library = Library(path)
-        self.words = Words(self.library.encode)
+        self.words = WordTable(self.library.encode_spans)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts in a row, and the number of each text's."""
+        texts = pc.fill_null(texts, "")
+        added = np.zeros(len(texts), bool)
+        for token in self.library.added:
+            added |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        ids, counts = self.words.encode(*flat(texts.filter(pa.array(~added))))
+        if not added.any():
+            return ids, counts
+        whole = [np.array(self.library.whole(t, add_special_tokens=False).ids, np.uint32) for t in texts.filter(pa.array(added)).to_pylist()]
+        order = np.append(np.flatnonzero(~added), np.flatnonzero(added))
+        return in_order(order, np.concatenate([ids, *whole]), np.append(counts, [len(w) for w in whole]))
+
+
+# Spark keeps Python workers, so the words of one task are known to the next.
+_kept: dict[str, Texts] = {}
+
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        added = [any(a in t for a in self.library.added) for t in texts]
-        plain = iter(self.words.encode([t for t, a in zip(texts, added) if not a]))
-        return [
-            np.array(self.library.whole(t, add_special_tokens=False).ids, "<u4").tobytes() if a else next(plain)
-            for t, a in zip(texts, added)
-        ]
+def _texts(path: str) -> Texts:
+    if path not in _kept:
+        _kept.clear()
+        _kept[path] = Texts(path)
+    return _kept[path]
 
 
 def _written(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Texts(path)
+        texts = _texts(path)
         part, segment = TaskContext.get().partitionId(), 0
-        end = np.array([END], "<u4").tobytes()
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         names: list[int | None] = []
+        lengths: list[int] = []
         size = 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
-            row = [[part], [segment], [len(ids)], [names], [[len(h) // 4 for h in held]], [encode(ids)]]
+            row = [[part], [segment], [size], [names], [lengths], [encode(np.concatenate(held))]]
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], ["part", "segment", "n_ids", "doc_ids", "lengths", "data"])
 
         for batch in batches:
-            for small in sliced(batch, "text", ENCODED_BYTES):
-                for name, ids in zip(small.column("doc_id").to_pylist(), words.encode(small.column("text").fill_null("").to_pylist())):
-                    held.append(ids + end)
-                    names.append(name)
-                    size += len(ids) // 4 + 1
+            for small in sliced(batch, "text", CHUNK_BYTES):
+                ids, counts = texts.encode(small.column("text"))
+                ended = np.full(len(ids) + len(counts), END, np.uint32)
+                ended[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+                ends = np.cumsum(counts + 1)
+                own = small.column("doc_id").to_pylist()
+                a, begin = 0, 0
+                while a < len(own):
+                    # Documents up to the one that fills the segment.
+                    b = min(len(own), int(np.searchsorted(ends, begin + SEGMENT_IDS - size)) + 1)
+                    end = int(ends[b - 1])
+                    held.append(ended[begin:end])
+                    names += own[a:b]
+                    lengths += (counts[a:b] + 1).tolist()
+                    size += end - begin
+                    a, begin = b, end
                     if size >= SEGMENT_IDS:
                         yield close()
-                        held, names, size, segment = [], [], 0, segment + 1
+                        held, names, lengths, size, segment = [], [], [], 0, segment + 1
         if held:
             yield close()
+        hand_back()
 
     return run
 

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from apothecary.llm import (
     bottom_k, bpe, chosen_path, components, html_text, hypervectors, mixing, nn_descent, order, range_coder, repeats, shared, textvec,
-    token_files, toxicity,
+    token_files, toxicity, word_table,
 )
 
 RANKS, JSON = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
@@ -584,6 +584,60 @@ def test_token_files_of_texts_with_added_tokens(spark):
     assert rows[0]["n_tokens"] == 4
 
 
+def mixed_texts(n, seed):
+    """Texts of characters that the pattern treats in different ways, in short runs."""
+    rng = random.Random(seed)
+    signs = [*"aZst'.,-1 \n\t\r\x1c\x85\xa0", " ", " ", "\n", " the", "é", "ÿ", "×", "÷", "ß", "Ω", "日", "́", "²", " ", " ", "　", "—", "'s", "'re", "<|endoftext|>", "😀", "​", "_"]
+    return ["".join(rng.choice(signs) for _ in range(rng.randrange(0, 40))) for _ in range(n)]
+
+
+def assert_encoded(texts, tokenizer, encoder):
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
+    ends = np.cumsum(counts)
+    assert len(counts) == len(texts) and ends[-1] == len(ids)
+    for text, a, b in zip(texts, (ends - counts).tolist(), ends.tolist()):
+        assert ids[a:b].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_texts_are_encoded_as_by_the_library():
+    tokenizer = Tokenizer.from_file(JSON)
+    encoder = token_files.Texts(JSON)
+    for texts in (odd_texts(), mixed_texts(3000, 16), mixed_texts(3000, 17), [None, ""], ["", "a", None], [""]):
+        assert_encoded(texts, tokenizer, encoder)
+
+
+def test_texts_whose_words_share_hashes_or_fill_the_table(monkeypatch):
+    tokenizer = Tokenizer.from_file(JSON)
+    monkeypatch.setattr(word_table, "KEPT_WORDS", 1 << 10)
+    monkeypatch.setattr(word_table, "CHUNK_BYTES", 256)
+    encoder = token_files.Texts(JSON)
+    assert_encoded(mixed_texts(500, 18) + [prose(random.Random(19), 3000, 3000), "x" * 5000], tokenizer, encoder)
+    exact = word_table.span_hashes
+    monkeypatch.setattr(word_table, "span_hashes", lambda *a: exact(*a) % np.uint64(50))
+    assert_encoded(mixed_texts(500, 20), tokenizer, token_files.Texts(JSON))
+
+
+def test_words_between_other_signs_are_not_encoded_again(monkeypatch):
+    encoder = token_files.Texts(JSON)
+    encoder.encode(pa.array(["a first, second third. é zwölf"]))
+    taken = []
+    encode = encoder.words.encode_words
+    monkeypatch.setattr(encoder.words, "encode_words", lambda data, begin, end: taken.extend(data[a:b].tobytes() for a, b in zip(begin, end)) or encode(data, begin, end))
+    encoder.encode(pa.array(["a second, zwölf. first third! third. é"]))
+    assert taken == [b"!"]
+
+
+def test_range_coder_codes_an_id_by_how_often_it_came():
+    # No order 1 or 2 helps: independent ids, of which few are common. 4.6 bits each at best.
+    rng = np.random.default_rng(22)
+    ids = (rng.zipf(1.6, 60_000) * 7919 % 50257).astype(np.uint32)
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    best = -(share * np.log2(share)).sum()
+    data = range_coder.encode(ids)
+    assert len(data) * 8 / len(ids) < best + 1.5
+    assert np.array_equal(range_coder.decode(data), ids)
+
+
 # -- 10 nearest neighbours --------------------------------------------------
 
 
