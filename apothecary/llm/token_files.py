@@ -28,7 +28,7 @@ from apothecary.llm.order import partitions, running_sum
 from apothecary.llm.range_coder import decode, encode
 from apothecary.llm.shared import stored
 from apothecary.llm.textvec import flat, hand_back, sliced
-from apothecary.llm.word_table import CHUNK_BYTES, WordTable, joinable, spans
+from apothecary.llm.word_table import CHUNK_BYTES, LONGEST, WordTable, joinable, spans
 
 END = 2
 SEGMENT_IDS = 4 << 20
@@ -66,9 +66,11 @@ class Library:
     def piece(self, piece: str) -> bytes:
         ids = self.known.get(piece)
         if ids is None:
-            if len(self.known) >= CACHED_PIECES:
-                self.known.clear()
-            ids = self.known[piece] = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+            ids = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+            if len(piece) <= LONGEST:
+                if len(self.known) >= CACHED_PIECES:
+                    self.known.clear()
+                self.known[piece] = ids
         return ids
 
     def encode(self, words: list[str]) -> list[bytes]:
@@ -82,7 +84,6 @@ class Library:
                 out.append(b"".join([self.piece(p) for p, _ in self.cut(word)]) if word else b"")
         return out
 
-
     def together(self, text: str, length: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of words in a row and each word's number; None if they don't end where words do."""
         if any(a in text for a in self.added):
@@ -148,14 +149,16 @@ class Texts:
 
 
 # Spark keeps Python workers, so the words of one task are known to the next.
-_kept: dict[str, Texts] = {}
+_kept: dict[tuple, Texts] = {}
 
 
 def _texts(path: str) -> Texts:
-    if path not in _kept:
+    state = os.stat(path)
+    key = (path, state.st_size, state.st_mtime_ns)
+    if key not in _kept:
         _kept.clear()
-        _kept[path] = Texts(path)
-    return _kept[path]
+        _kept[key] = Texts(path)
+    return _kept[key]
 
 
 def _written(path: str):

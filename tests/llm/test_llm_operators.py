@@ -627,6 +627,13 @@ def test_words_between_other_signs_are_not_encoded_again(monkeypatch):
     assert taken == [b"!"]
 
 
+def test_what_a_task_leaves_is_bounded():
+    encoder = token_files.Texts(JSON)
+    encoder.encode(pa.array(["日本語" * 500 + " " + "x" * 5000 + " plain words", "日本語"]))
+    assert max(map(len, encoder.library.known)) <= word_table.LONGEST
+    assert encoder.words.n_bytes.values.max() <= word_table.LONGEST
+
+
 def test_range_coder_codes_an_id_by_how_often_it_came():
     # No order 1 or 2 helps: independent ids, of which few are common. 4.6 bits each at best.
     rng = np.random.default_rng(22)
